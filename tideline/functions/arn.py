@@ -50,10 +50,10 @@ def arn_resource(resource: Column, kind: str) -> Column:
     """Values of a ``key/value/...`` resource; null unless length and keys match ``kind``."""
     keys = RESOURCE_KEYS[kind]
     sections = F.split(resource, "/")
-    names = F.filter(sections, lambda _, i: i % 2 == 0)
-    values = F.filter(sections, lambda _, i: i % 2 == 1)
-    matches = (F.size(sections) == 2 * len(keys)) & (names == F.array(*map(F.lit, keys)))
-    return F.when(matches, values)
+    matches = F.size(sections) == 2 * len(keys)
+    for i, key in enumerate(keys):
+        matches = matches & (F.get(sections, F.lit(2 * i)) == key)
+    return F.when(matches, F.array(*[F.get(sections, F.lit(2 * i + 1)) for i in range(len(keys))]))
 
 
 def _after(atoms: Column, word: str) -> Column:

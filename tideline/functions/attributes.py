@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from . import as_column
+from . import as_column, let
 
 # fixed values
 TYPE_PREFIX = "com.amazon."
@@ -43,19 +43,34 @@ def ext_attrs(attributes: Column) -> Column:
 
     Names that collide after renaming keep the value of the last original name.
     """
-    entries = F.array_sort(F.transform(
-        F.map_entries(attributes),
-        lambda e: F.struct(
-            e["key"].alias("name"), e["value"]["DataType"].alias("kind"),
-            e["value"]["StringValue"].alias("value"))))
-    text = F.filter(
-        entries, lambda e: e["value"].isNotNull() & ~F.coalesce(e["kind"].startswith("Binary"), F.lit(False)))
-    renamed = F.transform(
-        text, lambda e: F.struct(ext_attr_name(e["name"]).alias("key"), e["value"].alias("value")))
-    keys = F.transform(renamed, lambda e: e["key"])
-    unique = F.filter(
-        renamed, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys) + 1), e["key"]))
-    return F.when(F.size(unique) > 0, F.map_from_entries(unique))
+    def is_text(value: Column) -> Column:
+        return value["StringValue"].isNotNull() & ~F.coalesce(value["DataType"].startswith("Binary"), F.lit(False))
+
+    def renamed(kept: Column) -> Column:
+        return F.struct(
+            F.transform(F.map_keys(kept), ext_attr_name).alias("keys"),
+            F.transform(F.map_values(kept), lambda v: v["StringValue"]).alias("values"),
+            F.map_keys(kept).alias("names"))
+
+    def as_map(text: Column) -> Column:
+        unique = F.size(F.array_distinct(text["keys"])) == F.size(text["keys"])
+        return F.when(unique, F.map_from_arrays(text["keys"], text["values"])).otherwise(_last_wins(text))
+
+    kept = F.map_filter(attributes, lambda _, value: is_text(value))
+    extensions = let(kept, lambda k: let(renamed(k), as_map))
+    return F.when(F.size(kept) > 0, extensions)
+
+
+def _last_wins(text: Column) -> Column:
+    """Map of colliding keys: ordered by original name, the last value of a key stays."""
+    ordered = F.sort_array(F.arrays_zip(text["names"], text["keys"], text["values"]))
+
+    def unique(entries: Column) -> Column:
+        later = F.filter(entries, lambda e, i: ~F.exists(
+            F.slice(entries, i + 2, F.size(entries)), lambda other: other["keys"] == e["keys"]))
+        return F.map_from_entries(F.transform(later, lambda e: F.struct(e["keys"], e["values"])))
+
+    return let(ordered, unique)
 
 
 def object_event_type(event_name: Column) -> Column:
@@ -70,7 +85,7 @@ def spec_event_type(configured: Column) -> Column:
 
 def key_subject(names: Column) -> Column:
     """Comma-joined key names in sorted order; '' when there are none."""
-    return F.coalesce(F.array_join(F.array_sort(names), ","), F.lit(""))
+    return F.coalesce(F.array_join(F.sort_array(names), ","), F.lit(""))
 
 
 def url_path(ns: Column, name: Column) -> Column:

@@ -48,11 +48,12 @@ def duration_parse(text: Column) -> Column:
     return F.when(_well_formed(text), _nanos(text))
 
 
-def duration_error(text: Column) -> Column:
-    """Why ``text`` is not a duration, or null."""
+def duration_error(text: Column, parsed: Column | None = None) -> Column:
+    """Why ``text`` is not a duration, or null. ``parsed`` is its value if already at hand."""
+    parsed = _nanos(text) if parsed is None else parsed
     return (
         F.when(text.isNull(), "invalid duration")
-        .when(_well_formed(text), F.when(_nanos(text).isNull(), "invalid duration"))
+        .when(_well_formed(text), F.when(parsed.isNull(), "invalid duration"))
         .when(text.rlike(rf"^[+-]?({_TERM})*{_NUMBER}\z"), "missing unit")
         .when(text.rlike(rf"^[+-]?({_TERM})*{_NUMBER}[^0-9.]"), "unknown unit")
         .otherwise("invalid duration")

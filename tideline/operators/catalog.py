@@ -48,6 +48,8 @@ def source_catalog(configs: DataFrame, prefix: str | Column) -> DataFrame:
     known_events = (
         F.when(kind == "s3", F.forall("configured", lambda t: t.isin(OBJECT_EVENTS)))
         .when(kind == "codecommit", F.forall("configured", lambda t: t.isin(REPO_EVENTS))))
+    interval_error = duration_error(F.col("polling_interval"), F.col("interval_ns"))
+    timeout_error = duration_error(F.col("visibility_timeout"), F.col("timeout_ns"))
     errors = F.array_compact(F.array(
         F.when(has_arn & arn_error(F.col("arn")).isNotNull(), F.concat(F.lit("arn: "), arn_error(F.col("arn")))),
         F.when(has_arn & ~valid_source_arn(kind, F.col("arn")), F.lit("arn: not accepted by this kind")),
@@ -55,10 +57,8 @@ def source_catalog(configs: DataFrame, prefix: str | Column) -> DataFrame:
                & _resource_value(kind, resource).isNull(), F.lit("arn: unexpected resource")),
         F.when(~has_arn & ~F.coalesce(valid_region(F.col("region")), F.lit(False)), F.lit("region: invalid")),
         F.when(~known_events, F.lit("event types: unknown")),
-        F.when(F.col("polling_interval").isNotNull() & duration_error(F.col("polling_interval")).isNotNull(),
-               F.concat(F.lit("polling interval: "), duration_error(F.col("polling_interval")))),
-        F.when(F.col("visibility_timeout").isNotNull() & duration_error(F.col("visibility_timeout")).isNotNull(),
-               F.concat(F.lit("visibility timeout: "), duration_error(F.col("visibility_timeout")))),
+        F.when(F.col("polling_interval").isNotNull(), F.concat(F.lit("polling interval: "), interval_error)),
+        F.when(F.col("visibility_timeout").isNotNull(), F.concat(F.lit("visibility timeout: "), timeout_error)),
         F.when(F.col("timeout_ns").isNotNull() & valid_visibility_timeout(F.col("timeout_ns")).isNull(),
                F.lit("visibility timeout: out of bounds"))))
     logs = log_resource(resource)

@@ -22,7 +22,7 @@ def upsert_by_id(
     old = current.select(*keys, F.struct(*names).alias("_old"))
     new = updates.select(*keys, F.struct(*names).alias("_new"))
     row = F.coalesce("_new", "_old")
-    same = F.array_sort(F.col(f"_new.{events}")).eqNullSafe(F.col(f"_old.{events}"))
+    same = F.sort_array(F.col(f"_new.{events}")).eqNullSafe(F.col(f"_old.{events}"))
     changed = F.col("_new").isNotNull() & (F.col("_old").isNull() | ~same)
     return (
         old.join(new, list(keys), "full")
@@ -89,7 +89,7 @@ def event_types(kind: Column, service: Column, configured: Column) -> Column:
     Repositories: the configured types in their order. Others: a constant list.
     """
     configured = F.coalesce(configured, F.array().cast("array<string>"))
-    objects = F.array_sort(F.array_distinct(F.concat(
+    objects = F.sort_array(F.array_distinct(F.concat(
         F.transform(configured, lambda t: event_type("s3", spec_event_type(t))),
         F.array(event_type("s3", "testevent")))))
     result = (

@@ -81,8 +81,8 @@ def events_from_stream_records(df: DataFrame, arn: str | Column) -> DataFrame:
 
 
 def key_names(attribute_values: Column) -> Column:
-    """Key names of an attribute map kept as a variant or as a map of JSON text."""
-    return F.json_object_keys(F.to_json(attribute_values))
+    """Key names of an attribute map kept as a variant."""
+    return F.map_keys(F.try_variant_get(attribute_values, "$", "map<string,variant>"))
 
 
 def events_from_change_records(df: DataFrame, arn: str | Column) -> DataFrame:

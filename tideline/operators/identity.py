@@ -34,7 +34,7 @@ def sync_datasets(
     part = F.coalesce(F.pmod(F.xxhash64("Key", F.lit("part")), F.col("_parts")), F.lit(0)).cast("bigint")
     nested = (
         placed.withColumn("part", part).groupBy(*key, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("Key", *[f for f in fields if f != "Key"]))).alias("_r")))
+        .agg(F.sort_array(F.collect_list(F.struct("Key", *[f for f in fields if f != "Key"]))).alias("_r")))
     lists = F.transform("_r", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
     nested = nested.withColumn("DatasetRecords", lists).drop("_r")
     known = datasets.join(identities.select("IdentityId").distinct(), "IdentityId", "left_semi")

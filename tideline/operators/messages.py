@@ -14,21 +14,29 @@ BATCH_SIZE = 10
 FLUSH_SECONDS = 3
 
 
-def _is(variant: Column, kind: str) -> Column:
-    return F.coalesce(F.schema_of_variant(variant).startswith(kind), F.lit(False))
+# a body is read between brackets, which rejects text after its end
+BODY = "array<struct<Records:array<string>,Service:variant,Event:variant,Bucket:variant>>"
+RECORD = "eventName string, s3 struct<bucket:struct<arn:string>,object:struct<key:string>>"
+# text that a JSON value other than text would also be read as
+NOT_TEXT = r"^(-?[0-9.eE+-]+|true|false|[{\[].*)$"
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def _text(variant: Column, path: str) -> Column:
+def _text(value: Column) -> Column:
     """A member that is JSON text; null when absent or of another type."""
-    member = F.try_variant_get(variant, path, "variant")
-    return F.when(_is(member, "STRING"), F.try_variant_get(variant, path, "string"))
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def _member_text(record: Column, path: str, value: Column) -> Column:
+    """As ``_text`` for a member read as ``value``; only what could be another type is looked at twice."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(record), path, "variant"))
+    return F.when(~value.rlike(NOT_TEXT) | (kind == "STRING"), value)
 
 
 def is_test_event(body: Column) -> Column:
     """Whether a parsed body announces a change of a bucket's notification settings."""
     return F.coalesce(
-        (_text(body, "$.Service") == "Amazon S3") & (_text(body, "$.Event") == "s3:TestEvent"),
-        F.lit(False))
+        (_text(body["Service"]) == "Amazon S3") & (_text(body["Event"]) == "s3:TestEvent"), F.lit(False))
 
 
 def objects_from_messages(df: DataFrame, fallback_source: str | Column) -> DataFrame:
@@ -40,51 +48,56 @@ def objects_from_messages(df: DataFrame, fallback_source: str | Column) -> DataF
     keeps its row with ``errors`` set (see ``dead_letters``). Each body is parsed
     once, in place: no shuffle.
     """
-    body = F.try_parse_json("Body")
-    records = F.try_variant_get(body, "$.Records", "variant")
-    branch = (
-        F.when(_is(body, "OBJECT") & _is(records, "ARRAY"), "record")
-        .when(_is(body, "OBJECT") & is_test_event(body), "test")
-        .otherwise("message"))
-    whole = payload_struct("queue_message", df)
+    parsed = F.from_json(F.concat(F.lit("["), F.col("Body"), F.lit("]")), BODY, STRICT)
     rows = df.select(
-        body.alias("_body"), branch.alias("_branch"), F.col("Body").alias("_text"),
-        F.col("MessageId").alias("_id"), whole.alias("_message"))
-    # a null element stands for the single event of the other two branches
-    per_event = F.when(
-        F.col("_branch") == "record", F.try_variant_get("_body", "$.Records", "array<variant>")
-    ).otherwise(F.array(F.lit(None).cast("variant")))
-    rows = rows.withColumn("_record", F.explode(per_event))
+        parsed.alias("_parsed"), F.col("Body").alias("_text"), F.col("MessageId").alias("_id"),
+        payload_struct("queue_message", df).alias("_message"))
+    rows = rows.withColumn("_body", F.when(F.size("_parsed") == 1, F.get("_parsed", F.lit(0))))
+    rows = rows.withColumn(
+        "_branch",
+        F.when(F.col("_body.Records").isNotNull(), "record")
+        .when(is_test_event(F.col("_body")), "test")
+        .otherwise("message"))
 
+    # a record's row carries nothing of its message; the others have one row, of a null record
+    def only(branch: str, value: Column) -> Column:
+        return F.when(F.col("_branch") == branch, value)
+
+    records = only("record", F.col("_body.Records")).otherwise(F.array(F.lit(None).cast("string")))
+    rows = rows.select(
+        "_id", "_branch", only("message", F.col("_message")).alias("_message"),
+        only("test", F.col("_text")).alias("_text"), only("test", _text(F.col("_body.Bucket"))).alias("_test_bucket"),
+        F.explode(records).alias("_record"))
+    rows = rows.withColumn("_r", only("record", F.from_json("_record", RECORD)))
+    rows = rows.withColumns({
+        "_name": _member_text(F.col("_record"), "$.eventName", F.col("_r.eventName")),
+        "_key": _member_text(F.col("_record"), "$.s3.object.key", F.col("_r.s3.object.key")),
+        "_bucket": F.coalesce(
+            "_test_bucket", _member_text(F.col("_record"), "$.s3.bucket.arn", F.col("_r.s3.bucket.arn")))})
     is_record, is_test = F.col("_branch") == "record", F.col("_branch") == "test"
-    name = _text(F.col("_record"), "$.eventName")
-    bucket = _text(F.col("_record"), "$.s3.bucket.arn")
-    key = _text(F.col("_record"), "$.s3.object.key")
-    test_bucket = _text(F.col("_body"), "$.Bucket")
     kind = (
-        F.when(is_record, event_type("s3", object_event_type(name)))
+        F.when(is_record, event_type("s3", object_event_type(F.col("_name"))))
         .when(is_test, event_type("s3", "testevent"))
         .otherwise(event_type("sqs", "message")))
     source = (
-        F.when(is_record, bucket)
-        .when(is_test, F.concat(F.lit("arn:aws:s3:::"), test_bucket))
+        F.when(is_record, F.col("_bucket"))
+        .when(is_test, F.concat(F.lit("arn:aws:s3:::"), F.col("_bucket")))
         .otherwise(as_column(fallback_source)))
     data = (
-        F.when(is_record, F.to_json("_record"))
+        F.when(is_record, F.col("_record"))
         .when(is_test, F.col("_text"))
         .otherwise(payload_json(F.col("_message"))))
     errors = F.array_compact(F.array(
-        F.when(is_record & name.isNull(), "missing eventName"),
-        F.when(is_record & bucket.isNull(), "missing s3.bucket.arn"),
-        F.when(is_record & key.isNull(), "missing s3.object.key"),
-        F.when(is_test & test_bucket.isNull(), "missing Bucket")))
-    rows = rows.withColumns({"_kind": kind, "_source": source, "_data": data, "_errors": errors,
-                             "_subject": F.when(is_record, key)})
+        F.when(is_record & F.col("_name").isNull(), "missing eventName"),
+        F.when(is_record & F.col("_bucket").isNull(), "missing s3.bucket.arn"),
+        F.when(is_record & F.col("_key").isNull(), "missing s3.object.key"),
+        F.when(is_test & F.col("_bucket").isNull(), "missing Bucket")))
+    rows = rows.withColumns({"_kind": kind, "_source": source, "_data": data, "_errors": errors})
     events = event_envelope(
         rows, F.col("_kind"), F.col("_source"), F.col("_data"),
-        id=F.when(is_record, content_id(*map(F.col, ("_source", "_kind", "_subject", "_data"))))
+        id=F.when(is_record, content_id(*map(F.col, ("_source", "_kind", "_key", "_data"))))
         .otherwise(F.col("_id")),
-        subject=F.col("_subject"),
+        subject=F.col("_key"),
         extensions=F.when(~is_record & ~is_test, ext_attrs(F.col("_message.MessageAttributes"))),
         keep=["_errors"])
     return events.withColumnRenamed("_errors", "errors")

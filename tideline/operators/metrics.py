@@ -58,9 +58,9 @@ def match_points(points: DataFrame, queries: DataFrame) -> DataFrame:
     wanted = queries.where("expression IS NULL") if "expression" in queries.columns else queries
     wanted = wanted.select(
         F.col("id").alias("id"), F.col("namespace").alias("_ns"), F.col("metric").alias("_metric"),
-        F.col("dimensions").alias("_dims"), F.col("unit").alias("_unit"), "period", "stat")
-    dims = F.coalesce(F.map_entries("_dims"), F.array().cast("array<struct<key:string,value:string>>"))
-    in_dims = F.forall(dims, lambda d: F.coalesce(F.col("dimensions")[d["key"]] == d["value"], F.lit(False)))
+        F.map_entries("dimensions").alias("_dims"), F.col("unit").alias("_unit"), "period", "stat")
+    has_all = F.size(F.array_except("_dims", F.map_entries("dimensions"))) == 0
+    in_dims = F.col("_dims").isNull() | (F.size("_dims") == 0) | has_all
     in_unit = F.col("_unit").isNull() | (F.col("unit") == F.col("_unit"))
     start = F.floor(F.unix_seconds("ts") / F.col("period")).cast("bigint") * F.col("period")
     return (

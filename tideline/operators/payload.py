@@ -110,7 +110,7 @@ def validate_payload(df: DataFrame, kind: str, column: str = "data") -> DataFram
     JSON types and enumerated values.
     """
     members = _raw_members(F.col(column))
-    found = F.array_sort(F.array_distinct(_joined(_Contract(kind).members(F.col("_m"), PAYLOADS[kind], ""))))
+    found = F.sort_array(F.array_distinct(_joined(_Contract(kind).members(F.col("_m"), PAYLOADS[kind], ""))))
     return (
         df.withColumn("_m", members)
         .withColumn("errors", F.when(F.col("_m").isNull(), F.array(F.lit("not an object"))).otherwise(found))
