@@ -64,7 +64,7 @@ def match_points(points: DataFrame, queries: DataFrame) -> DataFrame:
     in_unit = F.col("_unit").isNull() | (F.col("unit") == F.col("_unit"))
     start = F.floor(F.unix_seconds("ts") / F.col("period")).cast("bigint") * F.col("period")
     return (
-        points.join(wanted, (F.col("namespace") == F.col("_ns")) & (F.col("metric") == F.col("_metric")))
+        points.select("namespace", "metric", "dimensions", "unit", "ts", "value").join(wanted, (F.col("namespace") == F.col("_ns")) & (F.col("metric") == F.col("_metric")))
         .where(in_dims & in_unit & F.col("value").isNotNull())
         .select("id", "stat", F.timestamp_seconds(start).alias("ts"), "value", F.col("ts").alias("point_ts"),
                 F.pmod(F.xxhash64("ts"), F.lit(SPREAD)).alias("spread")))

@@ -81,7 +81,7 @@ class _Contract:
 
     def _each(self, texts: Column, schema: T.StructType, path: str) -> Column:
         return F.flatten(F.transform(
-            texts, lambda e: F.coalesce(self._object(e, schema, path), _none())))
+            texts, lambda e: F.coalesce(self._object(e, schema, path), F.array(F.lit(f"type {path}[]")))))
 
 
 def _none() -> Column:

@@ -55,7 +55,7 @@ def read_events(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     if fmt == "json":
         lines = spark.read.schema("value string").text(path)
         return lines.select(parse_structured(F.col("value")).alias("event")).select("event.*")
-    return spark.read.schema(EVENT).format(fmt).load(path)
+    return spark.read.schema(EVENT).format(fmt).load(path).select(*EVENT.names)
 
 
 def valid_events(events: DataFrame) -> DataFrame:
