@@ -69,6 +69,14 @@ def latest_values(
     return newest.unionByName(kept)
 
 
+def _window_columns(ticks: DataFrame, interval_seconds: int | Column, tick: str, previous: Column) -> DataFrame:
+    seconds = F.lit(interval_seconds) if isinstance(interval_seconds, int) else interval_seconds
+    back = F.timestamp_micros(F.unix_micros(tick) - seconds.cast("bigint") * 1_000_000)
+    windows = ticks.withColumns({"window_start": F.coalesce(previous, back), "window_end": F.col(tick)})
+    return windows.withColumns({
+        "start_ms": seconds_ms(F.col("window_start")), "end_ms": seconds_ms(F.col("window_end"))})
+
+
 def poll_windows(
     ticks: DataFrame, interval_seconds: int | Column, source: str = "source", tick: str = "tick",
     chunk_seconds: int = CHUNK_SECONDS,
@@ -78,13 +86,8 @@ def poll_windows(
     ``start_ms`` and ``end_ms`` are the same bounds cut to whole seconds, as log
     windows use them.
     """
-    seconds = F.lit(interval_seconds) if isinstance(interval_seconds, int) else interval_seconds
-    back = F.timestamp_micros(F.unix_micros(tick) - seconds.cast("bigint") * 1_000_000)
     linked = with_previous(ticks, [source], tick, [tick], chunk_seconds=chunk_seconds)
-    return linked.withColumns({
-        "window_start": F.coalesce(F.col(f"previous.{tick}"), back), "window_end": F.col(tick),
-    }).drop("previous").withColumns({
-        "start_ms": seconds_ms(F.col("window_start")), "end_ms": seconds_ms(F.col("window_end"))})
+    return _window_columns(linked, interval_seconds, tick, F.col(f"previous.{tick}")).drop("previous")
 
 
 def head_changes(
@@ -112,13 +115,14 @@ def status_changes(
     """
     linked = with_previous(
         prs, ["repo", "pr_id"], "poll_ts", ["status"], tiebreak, prior, chunk_seconds)
+    is_new = F.col("previous").isNull()
+    candidates = linked.where(is_new | ~F.col("status").eqNullSafe(F.col("previous.status")))
     first = prs.groupBy("repo").agg(F.min("poll_ts").alias("_first"))
     if prior is not None:
         first = first.join(prior.select("repo").distinct(), "repo", "left_anti")
-    changed = F.when(F.col("previous").isNull(), F.col("_first").isNull() | (F.col("poll_ts") > F.col("_first")))
-    changed = changed.otherwise(~F.col("status").eqNullSafe(F.col("previous.status")))
+    baseline = is_new & F.coalesce(F.col("poll_ts") <= F.col("_first"), F.lit(False))
     return (
-        linked.join(first, "repo", "left").where(changed)
+        candidates.join(first, "repo", "left").where(~baseline)
         .withColumn("previous_status", F.col("previous.status")).drop("previous", "_first"))
 
 
@@ -144,24 +148,28 @@ def backoff_steps(
     polls: DataFrame, source: str = "source", tick: str = "tick", had_data: str = "had_data",
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Adds ``step``: polls since the last one with data, or since the first poll."""
+    """Adds ``step``, polls since the last one with data or since the first, and ``previous_tick``."""
     rows = polls.withColumn("_chunk", _chunk(F.col(tick), chunk_seconds))
     inside = Window.partitionBy(source, "_chunk").orderBy(tick)
-    rows = rows.withColumn("_n", F.row_number().over(inside).cast("bigint"))
+    rows = rows.withColumns({
+        "_n": F.row_number().over(inside).cast("bigint"), "_before": F.lag(tick).over(inside)})
     rows = rows.withColumn("_reset", F.max(F.when(F.col(had_data), F.col("_n"))).over(inside))
-    # one row per chunk: where it starts, and the last poll with data before it
-    chunks = rows.groupBy(source, "_chunk").agg(F.max("_n").alias("_size"), F.max("_reset").alias("_at"))
+    # one row per chunk: where it starts, the last poll before it, and the last one with data
+    chunks = rows.groupBy(source, "_chunk").agg(
+        F.max("_n").alias("_size"), F.max("_reset").alias("_at"), F.max(tick).alias("_end"))
     across = Window.partitionBy(source).orderBy("_chunk")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    chunks = chunks.withColumns({
+        "_start": F.coalesce(F.sum("_size").over(before), F.lit(0)), "_earlier": F.lag("_end").over(across)})
     chunks = chunks.withColumn("_past", F.max(F.col("_start") + F.col("_at")).over(before))
-    chunks = chunks.select(source, "_chunk", "_start", F.coalesce("_past", F.lit(1)).alias("_past"))
+    chunks = chunks.select(source, "_chunk", "_start", "_earlier", F.coalesce("_past", F.lit(1)).alias("_past"))
     position = F.col("_start") + F.col("_n")
     last_reset = F.coalesce(F.col("_start") + F.col("_reset"), F.col("_past"))
     return (
         rows.join(chunks, [source, "_chunk"])
-        .withColumn("step", (position - last_reset).cast("bigint"))
-        .drop("_chunk", "_n", "_reset", "_start", "_past"))
+        .withColumns({
+            "step": (position - last_reset).cast("bigint"), "previous_tick": F.coalesce("_before", "_earlier")})
+        .drop("_chunk", "_n", "_before", "_reset", "_start", "_earlier", "_past"))
 
 
 def backoff_delay(step: Column, shortest: float = 1.0, longest: float = 32.0) -> Column:
@@ -174,7 +182,7 @@ def backoff_schedule(
     tick: str = "tick", had_data: str = "had_data", chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Adds ``step`` and ``delay_seconds`` to a poll log."""
-    stepped = backoff_steps(polls, source, tick, had_data, chunk_seconds)
+    stepped = backoff_steps(polls, source, tick, had_data, chunk_seconds).drop("previous_tick")
     return stepped.withColumn("delay_seconds", backoff_delay(F.col("step"), shortest, longest))
 
 
@@ -185,10 +193,11 @@ def poll_delay(polls: DataFrame) -> DataFrame:
 
 
 def poll_history(polls: DataFrame, interval_seconds: int = 300, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Windows, delays and idle streaks of ``(source, tick, n_rows, failed)`` rows."""
+    """Windows, delays and idle streaks of ``(source, tick, n_rows, failed)`` rows, in one ordering."""
     logged = polls.withColumn("had_data", (F.col("n_rows") > 0) & ~F.col("failed"))
-    windows = poll_windows(logged, interval_seconds, chunk_seconds=chunk_seconds)
-    return poll_delay(backoff_schedule(windows, chunk_seconds=chunk_seconds))
+    stepped = backoff_steps(logged, chunk_seconds=chunk_seconds)
+    windows = _window_columns(stepped, interval_seconds, "tick", F.col("previous_tick")).drop("previous_tick")
+    return poll_delay(windows.withColumn("delay_seconds", backoff_delay(F.col("step"))))
 
 
 def diff_snapshots(

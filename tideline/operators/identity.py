@@ -38,8 +38,10 @@ def sync_datasets(
     lists = F.transform("_r", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
     nested = nested.withColumn("DatasetRecords", lists).drop("_r")
     known = datasets.join(identities.select("IdentityId").distinct(), "IdentityId", "left_semi")
-    return (
-        known.join(nested, key, "left")
-        .withColumns({
-            "part": F.coalesce("part", F.lit(0).cast("bigint")),
-            "DatasetRecords": F.coalesce("DatasetRecords", F.array().cast(SYNC_RECORD.simpleString().join(["array<", ">"])))}))
+    # at most one first part per dataset; the further parts of a large one are many and split in an inner join
+    first = known.join(nested.where("part = 0"), key, "left")
+    further = known.join(nested.where("part > 0"), key)
+    empty = F.array().cast(f"array<{SYNC_RECORD.simpleString()}>")
+    return first.unionByName(further).withColumns({
+        "part": F.coalesce("part", F.lit(0).cast("bigint")),
+        "DatasetRecords": F.coalesce("DatasetRecords", empty)})

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from ..schemas import LONG, STR, STR_MAP, struct
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # fixed values: statistics besides percentiles
 STATS = ["Sum", "Average", "Minimum", "Maximum", "SampleCount"]
@@ -71,13 +70,13 @@ def match_points(points: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def simple_stat(stat: Column, value: str = "value") -> Column:
-    """The named statistic of a group; every part combines before the shuffle."""
+    """The statistic named by the grouping column ``stat``; every part combines before the shuffle."""
     return (
-        F.when(F.first(stat) == "Sum", F.sum(value))
-        .when(F.first(stat) == "Average", F.avg(value))
-        .when(F.first(stat) == "Minimum", F.min(value))
-        .when(F.first(stat) == "Maximum", F.max(value))
-        .when(F.first(stat) == "SampleCount", F.count(value).cast("double")))
+        F.when(stat == "Sum", F.sum(value))
+        .when(stat == "Average", F.avg(value))
+        .when(stat == "Minimum", F.min(value))
+        .when(stat == "Maximum", F.max(value))
+        .when(stat == "SampleCount", F.count(value).cast("double")))
 
 
 def metric_stat(points: DataFrame, queries: DataFrame) -> DataFrame:
@@ -89,8 +88,8 @@ def metric_stat(points: DataFrame, queries: DataFrame) -> DataFrame:
     """
     matched = match_points(points, queries)
     simple = (
-        matched.where(F.col("stat").isin(STATS)).groupBy("id", "ts")
-        .agg(simple_stat(F.col("stat")).alias("value")))
+        matched.where(F.col("stat").isin(STATS)).groupBy("id", "stat", "ts")
+        .agg(simple_stat(F.col("stat")).alias("value")).drop("stat"))
     return simple.unionByName(exact_percentile(_ranked(matched), ["id", "ts"]))
 
 
@@ -199,11 +198,15 @@ def perf_points(series: DataFrame) -> DataFrame:
 
 
 def as_metric_query(
-    spark, id: str, namespace: str, metric: str, period: int, stat: str,
+    spark: SparkSession, id: str, namespace: str, metric: str, period: int, stat: str,
     dimensions: dict[str, str] | None = None, unit: str | None = None,
 ) -> DataFrame:
-    """A one-row query table, as ``metric_stat`` takes it."""
-    schema = struct({
-        "id": STR, "namespace": STR, "metric": STR, "dimensions": STR_MAP, "period": LONG,
-        "stat": STR, "unit": STR})
-    return spark.createDataFrame([(id, namespace, metric, dimensions or {}, period, stat, unit)], schema)
+    """A one-row query table, as ``metric_stat`` takes it.
+
+    Made of literals, so that its size is known when the join with the points is planned.
+    """
+    return spark.range(1).select(
+        F.lit(id).alias("id"), F.lit(namespace).alias("namespace"), F.lit(metric).alias("metric"),
+        F.from_json(F.lit(json.dumps(dimensions or {})), "map<string,string>").alias("dimensions"),
+        F.lit(period).cast("bigint").alias("period"), F.lit(stat).alias("stat"),
+        F.lit(unit).cast("string").alias("unit"))

@@ -27,7 +27,7 @@ def stream_metric_stat(
     matched = _period_points(points, queries, period_seconds, delay)
     return (
         matched.where(F.col("stat").isin(STATS))
-        .groupBy("id", F.window("point_ts", f"{period_seconds} seconds"))
+        .groupBy("id", "stat", F.window("point_ts", f"{period_seconds} seconds"))
         .agg(simple_stat(F.col("stat")).alias("value"))
         .select("id", F.col("window.start").alias("ts"), "value"))
 
