@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.envelope import events_from_stream_records
@@ -26,13 +29,26 @@ def landed(spark, rows: DataFrame, kind: str, streaming: bool = False, fmt: str
     return read_landed(spark, kind, path, streaming=streaming, fmt=fmt)
 
 
+@contextmanager
+def state_partitions(spark) -> Iterator[None]:
+    """No more state partitions than there are cores, for queries that run once."""
+    key = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(usual), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def drained(spark, stream: DataFrame, name: str) -> DataFrame:
     """All a stream gives from what is available, by way of a file sink."""
     out = new_dir(spark, name)
-    query = (
-        stream.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", new_dir(spark, f"{name}-checkpoint")).trigger(**poll_trigger()).start())
-    query.awaitTermination()
+    with state_partitions(spark):
+        query = (
+            stream.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", new_dir(spark, f"{name}-checkpoint")).trigger(**poll_trigger()).start())
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -157,7 +173,8 @@ def _(spark, sf):
 def _(spark, sf):
     heads = landed(spark, shapes.branch_heads(spark, sf), "repo_snapshot", streaming=True)
     out = new_dir(spark, "head_changes")
-    stream_head_changes(heads, out, new_dir(spark, "head_changes-checkpoint")).awaitTermination()
+    with state_partitions(spark):
+        stream_head_changes(heads, out, new_dir(spark, "head_changes-checkpoint")).awaitTermination()
     return batches(spark, out).select(
         "repo", F.unix_micros("poll_ts").alias("poll_us"), "commit_id", F.col("previous_commit").alias("previous"))
 
@@ -166,7 +183,8 @@ def _(spark, sf):
 def _(spark, sf):
     prs = landed(spark, shapes.pull_requests(spark, sf), "pr_snapshot", streaming=True)
     out = new_dir(spark, "status_changes")
-    stream_status_changes(prs, out, new_dir(spark, "status_changes-checkpoint")).awaitTermination()
+    with state_partitions(spark):
+        stream_status_changes(prs, out, new_dir(spark, "status_changes-checkpoint")).awaitTermination()
     return status_columns(batches(spark, out))
 
 
@@ -174,7 +192,8 @@ def _(spark, sf):
 def _(spark, sf):
     users = landed(spark, shapes.users(spark, sf), "user", streaming=True)
     out = new_dir(spark, "modified_since")
-    stream_modified_since(users, out, new_dir(spark, "modified_since-checkpoint")).awaitTermination()
+    with state_partitions(spark):
+        stream_modified_since(users, out, new_dir(spark, "modified_since-checkpoint")).awaitTermination()
     return modified_columns(batches(spark, out))
 
 
@@ -223,7 +242,8 @@ def _(spark, sf):
     points = landed(spark, shapes.event_points(spark, sf), "metric_point", streaming=True)
     query = as_metric_query(spark, "p90", "Shop", "click", 3600, "p90")
     out = new_dir(spark, "percentile")
-    stream_percentile(points, query, 3600, out, new_dir(spark, "percentile-checkpoint")).awaitTermination()
+    with state_partitions(spark):
+        stream_percentile(points, query, 3600, out, new_dir(spark, "percentile-checkpoint")).awaitTermination()
     return batches(spark, out).select("id", F.unix_seconds("ts").alias("start"), F.round("value", 4).alias("value"))
 
 

@@ -68,7 +68,10 @@ def stream_status_changes(
 def stream_modified_since(
     users: DataFrame, out: str, checkpoint: str, interval_seconds: float | None = None,
 ) -> StreamingQuery:
-    """``modified_since`` with the high mark per pool as state."""
+    """``modified_since`` with the high mark per pool as state.
+
+    A poll must land whole, as one commit of files: the mark moves with each micro-batch.
+    """
     def state_of(batch: DataFrame, prior: DataFrame | None) -> DataFrame:
         marks = batch.select("pool", F.col("UserLastModifiedDate").alias("mark"))
         if prior is not None:
