@@ -94,7 +94,7 @@ def metric_stat(points: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def _ranked(matched: DataFrame) -> DataFrame:
-    fraction = F.expr("substring(stat, 2)").cast("double") / 100
+    fraction = F.expr("substring(stat, 2)").try_cast("double") / 100
     return matched.where(F.col("stat").rlike(PERCENTILE)).select(
         "id", "ts", "value", "spread", fraction.alias("fraction"), F.lit(1).cast("bigint").alias("n"))
 

@@ -219,7 +219,7 @@ def _(spark, sf):
 
 
 CLOSED = """
-    WITH bound AS (SELECT max(epoch(ts)) AS top FROM events),
+    WITH bound AS (SELECT max(epoch(ts)) AS top FROM events WHERE event_type = 'click'),
     closed AS (
         SELECT epoch_us(ts) // 1000000 // 3600 * 3600 AS start, value FROM events WHERE event_type = 'click')
 """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.capture import log_windows
@@ -10,10 +10,16 @@ from ..operators.metrics import PERCENTILE, SPREAD, STATS, exact_percentile, mat
 from ..sinks.events import run_batches
 
 
-def _period_points(points: DataFrame, queries: DataFrame, period_seconds: int, delay: str) -> DataFrame:
-    """Points matched to the queries of one period, with a watermark on ``point_ts``."""
-    same_period = queries.where(F.col("period") == period_seconds)
-    return match_points(points.withWatermark("ts", delay), same_period)
+def _period_points(
+    points: DataFrame, queries: DataFrame, period_seconds: int, stat: Column, delay: str
+) -> DataFrame:
+    """Points matched to the queries of one period and kind of statistic, with a watermark on ``point_ts``.
+
+    The watermark follows the matched points: a filter on the metric would be
+    pushed below one on all points, so that alone has a settled meaning.
+    """
+    answered = queries.where((F.col("period") == period_seconds) & stat)
+    return match_points(points, answered).withWatermark("point_ts", delay)
 
 
 def stream_metric_stat(
@@ -21,13 +27,12 @@ def stream_metric_stat(
 ) -> DataFrame:
     """``metric_stat`` on a stream for the queries of one period: ``(id, ts, value)``.
 
-    A period is given once the watermark has passed its end. Percentiles need
+    A period is given once matched points have passed its end. Percentiles need
     ``stream_percentile``.
     """
-    matched = _period_points(points, queries, period_seconds, delay)
+    matched = _period_points(points, queries, period_seconds, F.col("stat").isin(STATS), delay)
     return (
-        matched.where(F.col("stat").isin(STATS))
-        .groupBy("id", "stat", F.window("point_ts", f"{period_seconds} seconds"))
+        matched.groupBy("id", "stat", F.window("point_ts", f"{period_seconds} seconds"))
         .agg(simple_stat(F.col("stat")).alias("value"))
         .select("id", F.col("window.start").alias("ts"), "value"))
 
@@ -41,12 +46,11 @@ def stream_percentile(
     State is one count per value of an open period, spread by value. All counts
     of a period leave it in the same micro-batch, which then ranks them exactly.
     """
-    matched = _period_points(points, queries, period_seconds, delay)
+    matched = _period_points(points, queries, period_seconds, F.col("stat").rlike(PERCENTILE), delay)
     counts = (
-        matched.where(F.col("stat").rlike(PERCENTILE))
-        .groupBy("id", "stat", F.window("point_ts", f"{period_seconds} seconds"), "value")
+        matched.groupBy("id", "stat", F.window("point_ts", f"{period_seconds} seconds"), "value")
         .agg(F.count("*").alias("n")))
-    fraction = F.expr("substring(stat, 2)").cast("double") / 100
+    fraction = F.expr("substring(stat, 2)").try_cast("double") / 100
     ready = counts.select(
         "id", F.col("window.start").alias("ts"), "value", "n", fraction.alias("fraction"),
         F.pmod(F.xxhash64("value"), F.lit(SPREAD)).alias("spread"))
