@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLES))
 def test_query(spark, name):
     df = entry.queries()[name](spark, SF)
     cursor = oracle(SF).execute(entry.oracle_sql()[name])
