@@ -23,7 +23,8 @@ BREAKS = "[ \n]"
 def pre_tokens(texts: pa.Array, shards: int):
     """Pre-tokens are runs of blanks and line ends with what follows; the model's leading blank is made plain first."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    lists = chunk_lists(pc.binary_join_element_wise(" ", texts, ""), punctuation=False, space=BREAKS)
+    texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+    lists = chunk_lists(texts, punctuation=False, space=BREAKS)
     coded = lists.flatten().dictionary_encode()
     tokens = np.empty(len(coded.dictionary), object)
     tokens[:] = coded.dictionary.cast(pa.binary()).to_pylist()
@@ -40,10 +41,14 @@ def piece_model(path: str):
 
 
 def count_pieces(tokens: list[bytes], path: str) -> list[int]:
-    """Pieces of each pre-token in its place: encoding one alone puts a blank in front, which is taken off again."""
+    """Pieces of each pre-token in its place.
+
+    Encoding one alone puts a blank in front, so one that starts with a blank goes without it, and from one
+    that starts with a line end the blank is taken off again. A blank alone, at the end of a text, is one piece.
+    """
     texts = [t.decode() for t in tokens]
     found = piece_model(path).encode([t[1:] if t[:1] == " " else t for t in texts], num_threads=1)
-    return [len(p) - (t[:1] == "\n") if t else 0 for p, t in zip(found, texts)]
+    return [1 if t == " " else len(p) - (t[:1] == "\n") if t else 0 for p, t in zip(found, texts)]
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
