@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .postings import HEADER, partial_sums, postings, sums_by_document, tasks_per_shard, unpacked
+from .postings import HEADER, partial_sums, postings, sums_by_document, tasks_per_shard, unpack_numbers, unpacked
 from .util import stored, text_of
 
 #: A character takes 21 bits of a token; the start and end of a text count as characters.
@@ -53,7 +53,7 @@ def gram_counts(table: DataFrame) -> DataFrame:
                 n = row["n"]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["lang"]] * n, pa.string()), pa.array([row["shard"]] * n, pa.int32()),
-                    pa.array(np.frombuffer(row["tokens"], "<i8")), pa.array(unpacked(row["trusted"], n))],
+                    pa.array(unpack_numbers(row["tokens"])), pa.array(unpacked(row["trusted"], n))],
                     ["lang", "shard", "token", "c"])
 
     rows = table.where(F.col("shard") != HEADER).select("lang", "shard", "n", "tokens", "trusted")
@@ -132,7 +132,7 @@ def document_costs(table: DataFrame, costs: DataFrame) -> DataFrame:
         for row in rows.to_pylist():
             if row["lang"] in model:
                 token, cost = model[row["lang"]]
-                at = np.searchsorted(token, np.frombuffer(row["tokens"], "<i8"))
+                at = np.searchsorted(token, unpack_numbers(row["tokens"]))
                 out.append(partial_sums(row, cost[at], unpacked(row["counts"], row["n"])))
         columns = zip(*out) if out else ([], [], [])
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.binary()))],

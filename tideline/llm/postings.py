@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,24 +33,38 @@ Extract = Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Non-negative numbers in the narrowest of 1, 2, 4 and 8 bytes."""
+    """Non-negative numbers in the narrowest of 1, 2, 4 and 8 bytes, compressed."""
     most = int(values.max(initial=0))
     kind = "<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8"
-    return values.astype(kind).tobytes()
+    return small(values.astype(kind).tobytes())
+
+
+def small(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def whole(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
 def unpacked(data: bytes, n: int) -> np.ndarray:
+    data = whole(data)
     return np.frombuffer(data, f"<u{len(data) // n if n else 1}").astype(np.int64)
 
 
 def pack_tokens(tokens: np.ndarray) -> bytes:
     """Integer tokens as they are; byte strings with their lengths in front."""
     if tokens.dtype != object:
-        return tokens.astype("<u8").tobytes()
-    return np.fromiter(map(len, tokens), "<u4", len(tokens)).tobytes() + b"".join(tokens)
+        return small(tokens.astype("<u8").tobytes())
+    return small(np.fromiter(map(len, tokens), "<u4", len(tokens)).tobytes() + b"".join(tokens))
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(whole(data), "<i8")
 
 
 def unpack_strings(data: bytes, n: int) -> list[bytes]:
+    data = whole(data)
     ends = np.cumsum(np.frombuffer(data, "<u4", n).astype(np.int64)) + 4 * n
     return [data[s:e] for s, e in zip([4 * n, *ends[:-1].tolist()], ends.tolist())]
 
@@ -69,7 +84,7 @@ def batch_rows(batch: str, lang: str | None, texts: pa.Array, ids: list, flags:
         counts = np.diff(np.append(first, e - s))
         rows.append((
             batch, int(of[s]), lang, len(first), pack_tokens(tokens[pair_token[s:e][first]]), packed(counts),
-            pair_doc[s:e].astype("<u2").tobytes(), packed(freqs[s:e]),
+            small(pair_doc[s:e].astype("<u2").tobytes()), packed(freqs[s:e]),
             packed(np.add.reduceat(in_trusted[s:e], first)), None, None, None))
     return rows
 
@@ -98,7 +113,7 @@ def postings(rows: DataFrame, extract: Extract, shards: int) -> DataFrame:
 
 def partial_sums(row: dict, values: np.ndarray, counts: np.ndarray) -> tuple[str, bytes, bytes]:
     """(batch, documents, sums) of one postings row, given a value per token."""
-    docs = np.frombuffer(row["docs"], "<u2")
+    docs = np.frombuffer(whole(row["docs"]), "<u2")
     weighted = np.repeat(values, counts) * unpacked(row["freqs"], len(docs))
     sums = np.bincount(docs, weighted)
     hit = np.unique(docs)
