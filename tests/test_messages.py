@@ -16,7 +16,7 @@ from tideline.operators.routing import route_notifications
 from tideline.schemas import LANDED, PAYLOADS
 from tideline.sinks.events import dead_letters, read_events, valid_events, write_events
 
-ARN = "arn:aws:sqs:us-fake-0:123456789012:MyQueue"
+ARN = "arn:aws:sqs:eu-north-1:123456789012:orders"
 
 
 def messages(spark, bodies, attributes=None):
@@ -31,14 +31,14 @@ def attribute(kind, value=None, binary=None):
 
 def test_message_event(spark):
     attributes = {
-        "Country.Spain.Capital": attribute("String.CityName", "Madrid"), "Blue_Pixel": attribute("Binary.png", None, "eA=="),
+        "Parcel.Weight.Class": attribute("String.Class", "heavy"), "Label_Scan": attribute("Binary.scan", None, "eA=="),
         "a-b": attribute("String", "first"), "ab": attribute("String", "last"), "none": attribute("String")}
     event = events_from_messages(messages(spark, ["body"], attributes), ARN).first()
     assert (event.type, event.source, event.id) == ("com.amazon.sqs.message", ARN, "m0")
-    assert event.extensions == {"sqsmsgcountryspaincapital": "Madrid", "sqsmsgab": "last"}
+    assert event.extensions == {"sqsmsgparcelweightclass": "heavy", "sqsmsgab": "last"}
     data = json.loads(event.data)
     assert data["Body"] == "body" and data["MD5OfMessageAttributes"] is None
-    assert data["MessageAttributes"]["Blue_Pixel"]["BinaryValue"] == "eA=="
+    assert data["MessageAttributes"]["Label_Scan"]["BinaryValue"] == "eA=="
 
 
 def test_no_extensions(spark):
@@ -108,14 +108,14 @@ def test_processors(spark):
 
 def test_round_trip(spark):
     rows = spark.createDataFrame(
-        [("1", "key", b"foo", "2024-01-01 00:00:00.123456")],
+        [("1", "key", b"cart", "2024-01-01 00:00:00.123456")],
         "SequenceNumber string, PartitionKey string, Data binary, t string",
     ).withColumn("ApproximateArrivalTimestamp", F.col("t").cast("timestamp"))
     arn = "arn:aws:kinesis:us-east-1:123456789012:stream/s"
     events = events_from_stream_records(rows, arn)
     back = typed_payload(events, "stream_record").first()
     assert (back.type, back.subject, back.id) == ("com.amazon.kinesis.stream_record", "key", "1")
-    assert bytes(back.payload.Data) == b"foo" and back.payload.EncryptionType is None
+    assert bytes(back.payload.Data) == b"cart" and back.payload.EncryptionType is None
     assert back.payload.ApproximateArrivalTimestamp == rows.first().ApproximateArrivalTimestamp
 
 
@@ -145,12 +145,12 @@ def test_change_record_keys(spark):
 
 
 def dataset_tables(spark, n):
-    identities = spark.createDataFrame([("3234234",), ("empty",)], "IdentityId string")
+    identities = spark.createDataFrame([("id-7",), ("empty",)], "IdentityId string")
     datasets = spark.createDataFrame(
-        [("foo", "3234234", None), ("big", "3234234", None), ("lost", "unknown", None)],
+        [("cart", "id-7", None), ("big", "id-7", None), ("lost", "unknown", None)],
         "DatasetName string, IdentityId string, LastModifiedDate timestamp")
     records = spark.range(n).select(
-        F.lit("3234234").alias("IdentityId"), F.lit("big").alias("DatasetName"),
+        F.lit("id-7").alias("IdentityId"), F.lit("big").alias("DatasetName"),
         F.format_string("%05d", "id").alias("Key"), F.col("id").cast("string").alias("Value"),
         F.col("id").alias("SyncCount"), F.lit(None).cast("string").alias("LastModifiedBy"),
         F.lit(None).cast("timestamp").alias("LastModifiedDate"),
@@ -160,15 +160,15 @@ def dataset_tables(spark, n):
 
 def test_sync_event_text(spark):
     nested = sync_datasets(*dataset_tables(spark, 3))
-    arn = "arn:aws:cognito-identity:us-fake-0:123456789012:identitypool/pool"
+    arn = "arn:aws:cognito-identity:eu-north-1:123456789012:identitypool/pool"
     events = {e.subject: e for e in events_from_sync(nested, arn).collect()}
-    assert set(events) == {"foo", "big"}
-    assert json.loads(events["foo"].data) == {
-        "CreationDate": None, "DataStorage": None, "DatasetName": "foo", "IdentityID": "3234234",
+    assert set(events) == {"cart", "big"}
+    assert json.loads(events["cart"].data) == {
+        "CreationDate": None, "DataStorage": None, "DatasetName": "cart", "IdentityID": "id-7",
         "LastModifiedBy": None, "LastModifiedDate": None, "NumRecords": None, "EventType": "SyncTrigger",
-        "Region": "us-fake-0", "IdentityPoolID": "pool", "DatasetRecords": []}
+        "Region": "eu-north-1", "IdentityPoolID": "pool", "DatasetRecords": []}
     assert [r["Key"] for r in json.loads(events["big"].data)["DatasetRecords"]] == ["00000", "00001", "00002"]
-    assert events["foo"].id == "3234234"
+    assert events["cart"].id == "id-7"
 
 
 def test_large_dataset_comes_in_parts(spark):

@@ -36,7 +36,7 @@ def failure_reason(reason: Column, message: Column) -> Column:
     """The most specific reason that can be told; the given one otherwise."""
     revision = reason == REVISION_FAILED
     missing = F.regexp_extract(message, _NOT_FOUND, 1)
-    titled = F.concat(F.upper(F.substring(missing, 1, 1)), F.substring(missing, 2, 1 << 20))
+    titled = F.concat(F.upper(F.substring(missing, 1, 1)), F.call_function("substring", missing, F.lit(2)))
     return (
         F.when(reason.isin(RUNTIME_REASONS) | (revision & message.contains(CONTAINER_FAILED)),
                "AppRuntimeFailure")

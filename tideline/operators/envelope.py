@@ -64,11 +64,18 @@ def event_envelope(
     return rows
 
 
+def sent_time(df: DataFrame) -> Column:
+    """When a queue message was sent; null where the queue did not say."""
+    if "Attributes" not in df.columns:
+        return F.lit(None).cast("timestamp")
+    return F.timestamp_millis(F.col("Attributes").getItem("SentTimestamp").try_cast("bigint"))
+
+
 def events_from_messages(df: DataFrame, source: str | Column) -> DataFrame:
-    """Queue messages; the whole message is the data."""
+    """Queue messages; the whole message is the data, the time is when it was sent."""
     return event_envelope(
         df, event_type("sqs", "message"), source, payload_json(payload_struct("queue_message", df)),
-        id=F.col("MessageId"), extensions=ext_attrs(F.col("MessageAttributes")))
+        id=F.col("MessageId"), time=sent_time(df), extensions=ext_attrs(F.col("MessageAttributes")))
 
 
 def events_from_stream_records(df: DataFrame, arn: str | Column) -> DataFrame:
@@ -97,9 +104,11 @@ def events_from_change_records(df: DataFrame, arn: str | Column) -> DataFrame:
 
 
 def events_from_logs(df: DataFrame, arn: str | Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Log entries. Group and stream take part in the id: two streams may write the same line at one time."""
     arn = as_column(arn)
+    kind, data = event_type(arn_service(arn), "log"), payload_json(payload_struct("log_event", df))
     return event_envelope(
-        df, event_type(arn_service(arn), "log"), arn, payload_json(payload_struct("log_event", df)),
+        df, kind, arn, data, id=content_id(arn, kind, F.to_json(F.array("log_group", "log_stream")), data),
         time=F.timestamp_millis(F.col("Timestamp")), keep=keep)
 
 

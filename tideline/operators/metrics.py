@@ -99,13 +99,17 @@ def _ranked(matched: DataFrame) -> DataFrame:
         "id", "ts", "value", "spread", fraction.alias("fraction"), F.lit(1).cast("bigint").alias("n"))
 
 
+#: NaN counts as larger than any number.
+LAST_SLOT = 1 << 62
+
+
 def slot(value: Column) -> Column:
     """A whole number that never falls as ``value`` rises; about 0.02 % of the value wide."""
     size = F.abs(value)
-    exponent = F.least(F.lit(1024.0), F.floor(F.log2(size)).cast("double"))
+    exponent = F.least(F.lit(1023.0), F.floor(F.log2(size)).cast("double"))
     fraction = size / F.pow(F.lit(2.0), exponent) - 1
     step = F.floor((exponent + 1100) * SLOTS + F.least(fraction * SLOTS, F.lit(2.0 * SLOTS))).cast("bigint")
-    return F.when(value == 0, 0).when(value < 0, -step).otherwise(step)
+    return F.when(F.isnan(value), LAST_SLOT).when(value == 0, 0).when(value < 0, -step).otherwise(step)
 
 
 def exact_percentile(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -155,7 +159,8 @@ def exact_percentile(df: DataFrame, keys: list[str]) -> DataFrame:
         at("_low").alias("_a"), at("_high").alias("_b"),
         F.first("_rank").alias("_rank"), F.first("_low").alias("_low"))
     weight = F.col("_rank") - F.col("_low")
-    return found.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * weight).alias("value"))
+    between = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * weight)
+    return found.select(*keys, between.alias("value"))
 
 
 def metric_expression(values: DataFrame, id: str, expression: str, inputs: list[str]) -> DataFrame:

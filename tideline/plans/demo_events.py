@@ -141,7 +141,7 @@ LOGS = """
 
 @demo("events_from_logs", f"""
     WITH {LOGS}
-    SELECT sha256('{shapes.LOGS_ARN}|com.amazon.logs.log||' ||
+    SELECT sha256('{shapes.LOGS_ARN}|com.amazon.logs.log|' || json_array(log_group, log_stream)::VARCHAR || '|' ||
                   json_object('IngestionTime', ingested, 'Message', props, 'Timestamp', stamp)::VARCHAR) AS id,
            '{shapes.LOGS_ARN}' AS source, 'com.amazon.logs.log' AS type, stamp, props AS message
     FROM logs""")

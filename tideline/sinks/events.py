@@ -31,6 +31,7 @@ def structured_json() -> Column:
 def parse_structured(text: Column) -> Column:
     """The envelope struct of a structured JSON text."""
     members = F.from_json(text, STR_MAP)
+    nested = F.try_variant_get(F.try_parse_json(text), "$.data", "variant")
     plain = F.map_filter(members, lambda k, _: ~k.isin(*_CONTEXT, "time", "data"))
     return F.struct(
         members["id"].alias("id"), members["source"].alias("source"),
@@ -38,7 +39,9 @@ def parse_structured(text: Column) -> Column:
         members["subject"].alias("subject"),
         F.to_timestamp(members["time"], TIMESTAMPS).alias("time"),
         members["datacontenttype"].alias("datacontenttype"),
-        F.when(F.size(plain) > 0, plain).alias("extensions"), members["data"].alias("data"))
+        F.when(F.size(plain) > 0, plain).alias("extensions"),
+        # a text loses its quotes as a member of the map
+        F.when(F.schema_of_variant(nested) == "STRING", F.to_json(nested)).otherwise(members["data"]).alias("data"))
 
 
 def write_events(events: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
@@ -88,7 +91,11 @@ def stream_events(
     no duplicates; the offsets are committed only after both writes.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_events(valid_events(batch), f"{path}/batch={batch_id}", fmt, "overwrite")
-        dead_letters(batch).write.mode("overwrite").parquet(f"{dead_path}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            write_events(valid_events(batch), f"{path}/batch={batch_id}", fmt, "overwrite")
+            dead_letters(batch).write.mode("overwrite").parquet(f"{dead_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return run_batches(events, write, checkpoint, interval_seconds)
