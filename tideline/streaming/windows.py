@@ -72,14 +72,16 @@ def stream_log_capture(logs: DataFrame, interval_seconds: int, lateness_ms: int
 
 
 def dedupe_redelivered(
-    events: DataFrame, delay: str = "12 hours", keys: tuple[str, ...] = ("id", "source", "subject"), time: str = "time"
+    events: DataFrame, delay: str = "12 hours", keys: tuple[str, ...] | None = None, time: str = "time"
 ) -> DataFrame:
     """Events without copies delivered again within ``delay``.
 
     On a stream, copies are first dropped per input partition: an event with very
     many copies reaches the deciding task at most once per partition. An event without
-    time could never leave the state, so a stream with one fails.
+    time could never leave the state, so a stream with one fails. Copies agree in id,
+    source and subject (where there is one), or in ``keys``.
     """
+    keys = keys or tuple(k for k in ("id", "source", "subject") if k in events.columns)
     if not events.isStreaming:
         return events.dropDuplicates(list(keys))
     known = F.coalesce(time, F.raise_error(F.lit("event without time")).cast("timestamp"))
