@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import stored
@@ -20,7 +20,7 @@ class Forest:
 
     def __init__(self) -> None:
         self.parent: dict[int, int] = {}
-        self.new: list[tuple[int, int]] = []
+        self.new: list[np.ndarray] = []
 
     def root(self, x: int) -> int:
         parent = self.parent
@@ -28,16 +28,33 @@ class Forest:
             parent[x] = x = parent.get(up, up)
         return x
 
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        for x, y in zip(a.tolist(), b.tolist()):
+    def link(self, nodes: np.ndarray, prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Rows ``a`` link to rows ``b``; of links that join two trees, both prints are passed on."""
+        fresh = []
+        for i, (x, y) in enumerate(zip(nodes[a].tolist(), nodes[b].tolist())):
             rx, ry = self.root(x), self.root(y)
             if rx != ry:
                 self.parent[max(rx, ry)] = min(rx, ry)
-                self.new.append((x, y))
+                fresh.append(i)
+        if fresh:
+            self.new.extend(np.concatenate([prints[a[fresh]], prints[b[fresh]]], axis=1))
 
-    def take(self) -> pa.RecordBatch:
-        pairs, self.new = np.array(self.new, dtype=np.int64).reshape(-1, 2), []
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    def take(self, words: int) -> pa.RecordBatch:
+        pairs, self.new = np.array(self.new, np.uint64).reshape(-1, 2 * words).view(np.int64), []
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in pairs.T], link_columns(words))
+
+
+def link_columns(words: int) -> list[str]:
+    return [f"{side}{j}" for side in "ab" for j in range(words)]
+
+
+def names_of(prints: np.ndarray) -> np.ndarray:
+    """A 64-bit name per print, for use inside a task; a print of one word is its own."""
+    name = prints[:, 0].copy()
+    for word in prints.T[1:]:
+        name = (name ^ (name >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + word
+        name = (name ^ (name >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return name
 
 
 def distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -56,14 +73,15 @@ def link_bucket(nodes: np.ndarray, prints: np.ndarray, limit: int, forest: Fores
     middle = int(np.argmin(distance(prints, centre)))
     inside = distance(prints, prints[middle]) <= limit
     near = np.flatnonzero(inside)
-    forest.link(np.full(len(near), nodes[middle]), nodes[near])
+    forest.link(nodes, prints, np.full(len(near), middle), near)
     for i in np.flatnonzero(~inside).tolist():
         near = np.flatnonzero(distance(prints, prints[i]) <= limit)
-        forest.link(np.full(len(near), nodes[i]), nodes[near])
+        forest.link(nodes, prints, np.full(len(near), i), near)
 
 
-def link_buckets(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, limit: int, forest: Forest) -> None:
+def link_buckets(keys: np.ndarray, prints: np.ndarray, limit: int, forest: Forest) -> None:
     """Links of whole buckets, rows sorted by key."""
+    nodes = names_of(prints)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.append(starts, len(keys)))
     for s, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
@@ -74,36 +92,41 @@ def link_buckets(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, limit:
     step = 1
     while len(at):
         near = at[distance(prints[at], prints[at + step]) <= limit]
-        forest.link(nodes[near], nodes[near + step])
+        forest.link(nodes, prints, near, near + step)
         step += 1
         at = at[left[at] > step]
 
 
 def link_sorted(words: int, limit: int):
-    """A mapInArrow function over (key, node, p0, p1, ...) sorted by key; memory holds one bucket and one batch."""
+    """A mapInArrow function over (key, p0, p1, ...) sorted by key; memory holds one bucket and one batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
-        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, words), np.uint64)]
+        held = [np.empty(0, np.int64), np.empty((0, words), np.uint64)]
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            fresh = [columns[0], columns[1], np.stack([c.view(np.uint64) for c in columns[2:]], axis=1)]
-            keys, nodes, prints = (np.concatenate(x) for x in zip(held, fresh))
+            fresh = [columns[0], np.stack([c.view(np.uint64) for c in columns[1:]], axis=1)]
+            keys, prints = (np.concatenate(x) for x in zip(held, fresh))
             if not len(keys):
                 continue
             cut = int(np.searchsorted(keys, keys[-1]))
             if cut:
-                link_buckets(keys[:cut], nodes[:cut], prints[:cut], limit, forest)
+                link_buckets(keys[:cut], prints[:cut], limit, forest)
                 if forest.new:
-                    yield forest.take()
-            held = [keys[cut:], nodes[cut:], prints[cut:]]
+                    yield forest.take(words)
+            held = [keys[cut:], prints[cut:]]
         if len(held[0]):
             link_buckets(*held, limit, forest)
-        yield forest.take()
+        yield forest.take(words)
     return run
 
 
+def node_of(words: Sequence[str]) -> Column:
+    """The name of a print in links and components."""
+    return F.col(words[0]) if len(words) == 1 else F.xxhash64(*words)
+
+
 def hamming_links(prints: DataFrame, segments: Sequence[tuple[int, int, int]], limit: int) -> DataFrame:
-    """Links (a, b) between rows (node, p0, p1, ...) whose fingerprints differ in at most ``limit`` bits.
+    """Links (a, b) between distinct prints (p0, p1, ...), named by ``node_of``, that differ in at most ``limit`` bits.
 
     Each segment (word, shift, bits) indexes a row under its value and all values one bit away, so two
     rows meet wherever a segment differs in two bits or less; with ``limit`` below three times the number
@@ -116,9 +139,11 @@ def hamming_links(prints: DataFrame, segments: Sequence[tuple[int, int, int]], l
         value = F.shiftrightunsigned(words[word], shift).bitwiseAND(F.lit((1 << bits) - 1))
         ball = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(bits)])
         keys.append(F.transform(ball, lambda m: value.bitwiseXOR(m) + F.lit(i << 40)))  # noqa: B023
-    rows = prints.select(F.explode(F.flatten(F.array(*keys))).alias("key"), "node", *words)
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(
-        link_sorted(len(words), limit), "a long, b long")
+    rows = prints.select(F.explode(F.flatten(F.array(*keys))).alias("key"), *words)
+    columns = link_columns(len(words))
+    links = rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+        link_sorted(len(words), limit), ", ".join(f"{c} long" for c in columns))
+    return links.select(node_of(columns[:len(words)]).alias("a"), node_of(columns[len(words):]).alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:

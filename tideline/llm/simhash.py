@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hamming import components, hamming_links
+from .hamming import components, hamming_links, node_of
 from .util import located, locator, stored, text_of
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -84,10 +84,8 @@ def fingerprints(rows: DataFrame, size: int, words: int = 1, distinct: bool = Fa
 def print_components(rows: DataFrame, segments, limit: int) -> DataFrame:
     """``rows`` (p0, p1, ... and others) with ``root``, equal for rows whose prints are linked by a chain."""
     words = [c for c in rows.columns if c.startswith("p")]
-    node = F.col(words[0]) if len(words) == 1 else F.xxhash64(*words)
-    nodes = stored(rows.select(*words).distinct().select(node.alias("node"), *words), "prints")
-    roots = components(hamming_links(nodes, segments, limit))
-    return rows.withColumn("node", node).join(roots, "node", "left").withColumn(
+    roots = components(hamming_links(stored(rows.select(*words).distinct(), "prints"), segments, limit))
+    return rows.withColumn("node", node_of(words)).join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")).drop("node")
 
 
