@@ -151,8 +151,16 @@ def events_from_repo(
 
 
 def events_from_sync(df: DataFrame, arn: str | Column) -> DataFrame:
-    """Rows of ``sync_datasets``. Datasets of one identity share its id: dedupe on the subject too."""
+    """Rows of ``sync_datasets``. Datasets of one identity share its id: dedupe on the subject too.
+
+    Further parts of a dataset have ``#part`` after the id; the extensions hold ``part`` and ``parts``.
+    """
     arn = as_column(arn)
+    part, count = (F.col(c) if c in df.columns else F.lit(None).cast("bigint") for c in ("part", "parts"))
+    further = F.when(part > 0, F.concat(F.lit("#"), part.cast("string")))
+    numbers = F.create_map(
+        F.lit("part"), F.coalesce(part, F.lit(0)).cast("string"),
+        F.lit("parts"), F.coalesce(count, F.lit(1)).cast("string"))
     parts = F.split(arn, ":", 6)
     named = df.withColumns({
         "IdentityID": F.col("IdentityId"), "EventType": F.lit("SyncTrigger"),
@@ -161,7 +169,8 @@ def events_from_sync(df: DataFrame, arn: str | Column) -> DataFrame:
     return event_envelope(
         named, event_type(arn_service(arn), "sync_trigger"), arn,
         payload_json(payload_struct("sync_dataset", named)),
-        id=F.col("IdentityID"), subject=F.col("DatasetName"), time=F.col("LastModifiedDate"))
+        id=F.concat("IdentityID", F.coalesce(further, F.lit(""))), subject=F.col("DatasetName"),
+        time=F.col("LastModifiedDate"), extensions=numbers)
 
 
 def events_from_users(df: DataFrame, arn: str | Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import SYNC_RECORD
 
@@ -12,36 +12,42 @@ _SPREAD = 64
 
 
 def sync_datasets(
-    identities: DataFrame, datasets: DataFrame, records: DataFrame, part_records: int = PART_RECORDS
+    identities: DataFrame, datasets: DataFrame, records: DataFrame,
+    part_records: int = PART_RECORDS, spread: int = _SPREAD,
 ) -> DataFrame:
     """Datasets of known identities with their records nested in ``DatasetRecords``.
 
-    Records are ordered by key. A dataset without records has an empty list; an
-    identity without datasets gives nothing. A dataset of more than
-    ``part_records`` records comes as several rows, numbered by ``part``, which
-    together hold all of them: no list grows without bound.
+    A dataset of n records comes as ``parts`` = ceil(n / ``part_records``) rows (one if it
+    has none), numbered by ``part`` from 0; every part but the last holds exactly
+    ``part_records`` records, so no list grows without bound. Records are ordered by key
+    inside a part. Which part holds a key follows from a hash of the keys: to number the
+    records of one very large dataset, ``spread`` tasks share them. An identity without
+    datasets gives nothing.
     """
     key = ["IdentityId", "DatasetName"]
     fields = [f.name for f in SYNC_RECORD]
-    spread = F.pmod(F.xxhash64("Key"), F.lit(_SPREAD)).cast("int")
-    # datasets beyond one part; at most one per ``part_records`` records
-    large = (
-        records.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > part_records)
-        .select(*key, F.ceil(F.col("_n") / part_records).alias("_parts"),
-                F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("_spread")))
-    # the extra key keeps the records of one large dataset from meeting in one task
-    placed = records.withColumn("_spread", spread).join(large, [*key, "_spread"], "left")
-    part = F.coalesce(F.pmod(F.xxhash64("Key", F.lit("part")), F.col("_parts")), F.lit(0)).cast("bigint")
-    nested = (
-        placed.withColumn("part", part).groupBy(*key, "part")
-        .agg(F.sort_array(F.collect_list(F.struct("Key", *[f for f in fields if f != "Key"]))).alias("_r")))
-    lists = F.transform("_r", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
-    nested = nested.withColumn("DatasetRecords", lists).drop("_r")
+    placed = records.select(
+        *key, *[f for f in fields if f not in key],
+        F.pmod(F.xxhash64("Key"), F.lit(spread)).cast("int").alias("_spread"))
+    # a record's place in its dataset: those of lower spreads, and the lower keys of its own
+    dataset = Window.partitionBy(*key)
+    before = dataset.orderBy("_spread").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = (
+        placed.groupBy(*key, "_spread").agg(F.count("*").alias("_n"))
+        .withColumns({"_before": F.sum("_n").over(before) - F.col("_n"), "_all": F.sum("_n").over(dataset)})
+        .select(*key, "_spread", "_before", "_all"))
+    inside = Window.partitionBy(*key, "_spread").orderBy("Key", *[f for f in fields if f not in ("Key", *key)])
+    numbered = placed.withColumn("_i", F.row_number().over(inside) - 1).join(counts, [*key, "_spread"])
+    record = F.struct("Key", *[f for f in fields if f != "Key"])
+    listed = numbered.select(
+        *key, F.floor((F.col("_before") + F.col("_i")) / part_records).cast("bigint").alias("part"),
+        F.ceil(F.col("_all") / part_records).cast("bigint").alias("parts"), record.alias("_r"))
     known = datasets.join(identities.select("IdentityId").distinct(), "IdentityId", "left_semi")
-    # at most one first part per dataset; the further parts of a large one are many and split in an inner join
-    first = known.join(nested.where("part = 0"), key, "left")
-    further = known.join(nested.where("part > 0"), key)
-    empty = F.array().cast(f"array<{SYNC_RECORD.simpleString()}>")
-    return first.unionByName(further).withColumns({
-        "part": F.coalesce("part", F.lit(0).cast("bigint")),
-        "DatasetRecords": F.coalesce("DatasetRecords", empty)})
+    # every dataset has a first part, with or without records
+    empty = known.select(
+        *key, F.lit(0).cast("bigint").alias("part"), F.lit(1).cast("bigint").alias("parts"),
+        F.lit(None).cast(listed.schema["_r"].dataType).alias("_r"))
+    nested = listed.unionByName(empty).groupBy(*key, "part").agg(
+        F.max("parts").alias("parts"), F.sort_array(F.collect_list("_r")).alias("_r"))
+    lists = F.transform("_r", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
+    return known.join(nested.withColumn("DatasetRecords", lists).drop("_r"), key)

@@ -83,8 +83,8 @@ def metric_stat(points: DataFrame, queries: DataFrame) -> DataFrame:
     """Evaluates metric queries: ``(id, ts, value)``, one row per query and period with data.
 
     ``points`` has ``(namespace, metric, dimensions, unit, ts, value)``; ``queries``
-    has the columns ``parse_metric_queries`` gives. All queries share one scan.
-    Periods start at the epoch.
+    has the columns ``parse_metric_queries`` gives. Periods start at the epoch.
+    Queries that can't be evaluated give no rows here; ``metric_failures`` lists them.
     """
     matched = match_points(points, queries)
     simple = (
@@ -93,6 +93,27 @@ def metric_stat(points: DataFrame, queries: DataFrame) -> DataFrame:
     return simple.unionByName(exact_percentile(_ranked(matched), ["id", "ts"]))
 
 
+def known_stat(stat: Column) -> Column:
+    """Whether ``metric_stat`` evaluates the statistic."""
+    return F.coalesce(stat.isin(STATS) | stat.rlike(PERCENTILE), F.lit(False))
+
+
+def metric_failures(queries: DataFrame) -> DataFrame:
+    """Result rows, as ``metric_results`` gives them, of the queries that ``metric_stat`` can't evaluate.
+
+    These are queries of an unknown statistic (null too), or of a period that is null or below one.
+    """
+    wanted = queries.where("expression IS NULL") if "expression" in queries.columns else queries
+    stat = F.coalesce("stat", F.lit("null"))
+    reason = F.when(~known_stat(F.col("stat")), F.struct(F.lit("UnknownStatistic").alias("Code"), stat.alias("Value"))).when(
+        ~F.coalesce(F.col("period") > 0, F.lit(False)),
+        F.struct(F.lit("InvalidPeriod").alias("Code"), F.coalesce(F.col("period").cast("string"), F.lit("null")).alias("Value")))
+    return wanted.withColumn("_reason", reason).where("_reason IS NOT NULL").select(
+        F.col("id").alias("Id"), F.col("id").alias("Label"), F.array("_reason").alias("Messages"),
+        F.lit("InternalError").alias("StatusCode"), F.array().cast("array<timestamp>").alias("Timestamps"),
+        F.array().cast("array<double>").alias("Values"), F.lit(None).cast("bigint").alias("span"))
+
+
 def _ranked(matched: DataFrame) -> DataFrame:
     fraction = F.expr("substring(stat, 2)").try_cast("double") / 100
     return matched.where(F.col("stat").rlike(PERCENTILE)).select(

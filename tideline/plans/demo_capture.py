@@ -11,7 +11,7 @@ from ..operators.catalog import failure_report, source_catalog
 from ..operators.config import desired_state_diff, event_type_registry, remove_by_id, upsert_by_id
 from ..operators.envelope import events_from_change_records, events_from_logs, events_from_stream_records
 from ..operators.metrics import (
-    as_metric_query, metric_expression, metric_results, metric_stat, parse_metric_queries)
+    as_metric_query, metric_expression, metric_failures, metric_results, metric_stat, parse_metric_queries)
 from ..operators.routing import find_subscription, registry, resolve_resource, route_requests
 from ..sources.landed import union_event_streams, union_shards
 from . import shapes
@@ -252,6 +252,25 @@ def _(spark, sf):
         "id", F.unix_seconds("ts").alias("start"), F.round("value", 4).alias("value"))
 
 
+@demo("metric_failures", """
+    WITH queries AS (
+        SELECT 'q' || c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN c_mktsegment WHEN 1 THEN 'Sum' WHEN 2 THEN 'p99.9'
+               WHEN 3 THEN 'tm90' END AS stat, c_nationkey * 60 AS period FROM customer)
+    SELECT id, 'InternalError' AS status,
+           CASE WHEN stat IN ('Sum', 'p99.9') THEN 'InvalidPeriod' ELSE 'UnknownStatistic' END AS code,
+           CASE WHEN stat IN ('Sum', 'p99.9') THEN period::VARCHAR ELSE coalesce(stat, 'null') END AS value, 0::BIGINT AS n
+    FROM queries WHERE stat IS NULL OR stat NOT IN ('Sum', 'p99.9') OR period < 1""")
+def _(spark, sf):
+    kind = F.col("c_custkey") % 5
+    stat = F.when(kind == 0, F.col("c_mktsegment")).when(kind == 1, "Sum").when(kind == 2, "p99.9").when(kind == 3, "tm90")
+    queries = shapes.table(spark, sf, "customer").select(
+        shapes.numbered("q", F.col("c_custkey")).alias("id"), stat.alias("stat"),
+        (F.col("c_nationkey") * 60).cast("bigint").alias("period"))
+    return metric_failures(queries).select(
+        F.col("Id").alias("id"), F.col("StatusCode").alias("status"), F.col("Messages")[0]["Code"].alias("code"),
+        F.col("Messages")[0]["Value"].alias("value"), F.size("Values").cast("bigint").alias("n"))
+
+
 def _two_series(spark, sf) -> DataFrame:
     queries = as_metric_query(spark, "c", "Shop", "click", 3600, "Sum").unionByName(
         as_metric_query(spark, "v", "Shop", "view", 3600, "Sum"))

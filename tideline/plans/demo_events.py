@@ -293,6 +293,53 @@ def _(spark, sf):
         member("$.IdentityPoolID", "pool"), F.size(listed).cast("bigint").alias("n"))
 
 
+BY_IDENTITY = """
+    numbered AS (
+        SELECT 'us-east-1:' || o_custkey AS identity, concat_ws('/', o_orderkey, l_linenumber, l_partkey, l_suppkey) AS k
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey),
+    sizes AS (SELECT identity, count(*) AS n FROM numbered GROUP BY 1)
+"""
+
+
+def datasets_by_identity(spark, sf) -> DataFrame:
+    """One dataset per identity with the records of all its orders, in parts of eight."""
+    records = shapes.sync_records(spark, sf)
+    order = F.substring_index("DatasetName", "-", -1)
+    records = records.withColumns({"Key": F.concat_ws("/", order, "Key"), "DatasetName": F.lit("orders")})
+    datasets = shapes.datasets(spark, sf).groupBy("IdentityId", F.lit("orders").alias("DatasetName")).agg(
+        F.max("LastModifiedDate").alias("LastModifiedDate"))
+    return sync_datasets(shapes.identities(spark, sf), datasets, records, part_records=8)
+
+
+@demo("sync_dataset_parts", f"""
+    WITH {BY_IDENTITY},
+    spread AS (SELECT identity, n, unnest(range(CAST(ceil(n / 8) AS BIGINT))) AS part FROM sizes)
+    SELECT s.identity, s.part, CAST(ceil(s.n / 8) AS BIGINT) AS parts, least(8, s.n - s.part * 8)::BIGINT AS n,
+           s.identity || CASE WHEN s.part > 0 THEN '#' || s.part ELSE '' END AS id
+    FROM spread s
+    UNION ALL
+    SELECT DISTINCT 'us-east-1:' || o_custkey, 0, 1, 0, 'us-east-1:' || o_custkey
+    FROM orders JOIN customer ON c_custkey = o_custkey
+    WHERE 'us-east-1:' || o_custkey NOT IN (SELECT identity FROM sizes)""")
+def _(spark, sf):
+    events = events_from_sync(datasets_by_identity(spark, sf), shapes.IDENTITY_ARN)
+    listed = F.from_json(F.get_json_object("data", "$.DatasetRecords"), "array<struct<Key:string>>")
+    return events.select(
+        F.get_json_object("data", "$.IdentityID").alias("identity"),
+        F.col("extensions.part").cast("bigint").alias("part"), F.col("extensions.parts").cast("bigint").alias("parts"),
+        F.size(listed).cast("bigint").alias("n"), "id")
+
+
+@demo("sync_dataset_part_records", f"""
+    WITH {BY_IDENTITY}
+    SELECT identity, count(*) AS n, string_agg(k, ',' ORDER BY k) AS records FROM numbered GROUP BY 1""")
+def _(spark, sf):
+    records = datasets_by_identity(spark, sf).select(
+        F.col("IdentityId").alias("identity"), F.explode("DatasetRecords.Key").alias("k"))
+    return records.groupBy("identity").agg(
+        F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("k")), ",").alias("records"))
+
+
 @demo("events_from_users", f"""
     SELECT '{shapes.POOL_ARN}' AS source, 'com.amazon.cognito-idp.sync_trigger' AS type, 'us-east-1_pool' AS subject,
            epoch_us(ts) AS time_us, user_id::VARCHAR AS username, event_type AS kind, 64::BIGINT AS id_length
