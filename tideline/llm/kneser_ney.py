@@ -21,6 +21,8 @@ from .util import stored, text_of
 BITS = 21
 MASK = (1 << BITS) - 1
 START, END = "\x02", "\x03"
+#: Characters whose trigrams are counted at a time.
+WINDOW = 1 << 19
 #: At most so many labelled rows (lowest hash first) train the model; their ids are shipped to every task.
 TRUSTED_ROWS = 200_000
 #: A document is rejected above this quantile of its language's trusted documents, plus a margin in nats.
@@ -30,19 +32,44 @@ MARGIN = 0.25
 PRIOR = 60
 
 
+def windows(strings: list[str], most: int = WINDOW) -> Iterator[tuple[list[int], list[str]]]:
+    """Runs of padded texts of about ``most`` characters, with the number of each; a longer text comes in overlapping pieces."""
+    numbers, pieces, held = [], [], 0
+    for i, text in enumerate(strings):
+        padded = f"{START}{START}{text}{END}"
+        for at in range(0, len(padded) - 2, most):
+            piece = padded[at:at + most + 2]
+            if pieces and held + len(piece) > most:
+                yield numbers, pieces
+                numbers, pieces, held = [], [], 0
+            numbers.append(i)
+            pieces.append(piece)
+            held += len(piece)
+    if pieces:
+        yield numbers, pieces
+
+
 def trigrams(texts: pa.Array, shards: int):
+    """Trigrams per document, counted window by window: memory follows the distinct ones, not the characters."""
     strings = texts.to_pylist()
     sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
-    line = "".join(f"{START}{START}{t}{END}" for t in strings)
-    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    first = np.cumsum(sizes + 2) - sizes - 2
-    keep = np.ones(len(points), bool)
-    keep[first], keep[first + 1] = False, False
-    at = np.flatnonzero(keep)
-    grams = points[at - 2] << 2 * BITS | points[at - 1] << BITS | points[at]
-    tokens, codes = np.unique(grams, return_inverse=True)
+    found, of, often = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for numbers, pieces in windows(strings):
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        starts = np.ones(len(points), bool)
+        starts[np.cumsum(lengths) - 1] = starts[np.cumsum(lengths) - 2] = False
+        grams = (points[:-2] << 2 * BITS | points[1:-1] << BITS | points[2:])[starts[:-2]]
+        known, codes = np.unique(grams, return_inverse=True)
+        pairs, counts = np.unique(np.repeat(np.arange(len(pieces)), lengths - 2) * len(known) + codes, return_counts=True)
+        piece, code = np.divmod(pairs, len(known))
+        found.append(known[code])
+        of.append(np.array(numbers, np.int64)[piece])
+        often.append(counts)
+    tokens, codes = np.unique(np.concatenate(found), return_inverse=True)
     spread = tokens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-    return tokens, (spread % np.uint64(shards)).astype(np.int64), codes, np.repeat(np.arange(len(strings)), sizes), sizes
+    return (tokens, (spread % np.uint64(shards)).astype(np.int64), codes, np.concatenate(of), sizes,
+            np.concatenate(often))
 
 
 def gram_counts(table: DataFrame) -> DataFrame:

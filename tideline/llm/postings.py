@@ -28,8 +28,10 @@ HEADER = -1
 #: Batches of one shard that a task handles; with more, the shard's values go to several tasks.
 BATCHES_PER_TASK = 4096
 
-#: Distinct tokens (as an array that can be indexed), their shards, the code of each occurrence, its document, sizes.
-Extract = Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+#: Distinct tokens (as an array that can be indexed), their shards, the code of each entry, its document, sizes of the
+#: documents, and how many occurrences each entry stands for (None: one).
+Extract = Callable[
+    [pa.Array, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -70,8 +72,13 @@ def unpack_strings(data: bytes, n: int) -> list[bytes]:
 
 
 def batch_rows(batch: str, lang: str | None, texts: pa.Array, ids: list, flags: list, extract: Extract, shards: int) -> list[tuple]:
-    tokens, shard, codes, docs, sizes = extract(texts, shards)
-    pairs, freqs = np.unique(docs * max(1, len(tokens)) + codes, return_counts=True)
+    tokens, shard, codes, docs, sizes, often = extract(texts, shards)
+    entries = docs * max(1, len(tokens)) + codes
+    if often is None:
+        pairs, freqs = np.unique(entries, return_counts=True)
+    else:
+        pairs, at = np.unique(entries, return_inverse=True)
+        freqs = np.bincount(at, often, len(pairs)).astype(np.int64)
     pair_doc, pair_token = np.divmod(pairs, max(1, len(tokens)))
     order = np.lexsort((pair_doc, pair_token, shard[pair_token]))
     pair_doc, pair_token, freqs = pair_doc[order], pair_token[order], freqs[order]

@@ -30,7 +30,7 @@ def pre_tokens(texts: pa.Array, shards: int):
     tokens[:] = coded.dictionary.cast(pa.binary()).to_pylist()
     shard = np.fromiter((zlib.crc32(t) % shards for t in tokens), np.int64, len(tokens))
     docs = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    return tokens, shard, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), docs, sizes
+    return tokens, shard, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), docs, sizes, None
 
 
 @lru_cache(maxsize=2)
