@@ -168,3 +168,34 @@ def test_passage_edge_cases(awkward, nameless, nothing):
     assert 5 not in ids  # its rows are one document
     assert repeated_passages(nameless).count() == 0 and repeated_passages(nothing).count() == 0
     assert without_repeats(awkward).columns == awkward.columns
+
+
+def edited(seed: int, n: int, edits: int) -> tuple[str, str]:
+    """A text of n words that hardly repeats and a copy with words changed far from one another."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{k}" for k in rng.integers(0, 5000, n)]
+    other = list(words)
+    for k in range(edits):
+        other[3 + k * (n // max(1, edits))] = f"e{seed}x{k}"
+    return " ".join(words), " ".join(other)
+
+
+def brute_near(docs: list[tuple[int, str]], threshold: float) -> list[int]:
+    sets = [(i, set(shingle_hashes(t.encode(), 5).tolist())) for i, t in docs]
+    label = {i: i for i, _ in sets}
+    for k, (i, x) in enumerate(sets):
+        for j, y in sets[:k]:
+            if label[i] != label[j] and len(x & y) >= threshold * len(x | y):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = {d: new if v == old else v for d, v in label.items()}
+    return sorted(set(label.values()))
+
+
+def test_near_below_the_threshold_stays(spark):
+    """Pairs at 0.60 to 0.79 are no near copies, whatever their prints are."""
+    docs = []
+    for s in range(40):
+        a, b = edited(s, 200, 5 + s % 4)
+        docs += [(s, a), (100 + s, b)]
+    kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == brute_near(docs, 0.8) == sorted(i for i, _ in docs)

@@ -1,4 +1,4 @@
-"""SimHash near-duplicate detection with multi-index hashing."""
+"""SimHash near-duplicate detection with multi-index hashing, and near copies by verified similarity."""
 
 from __future__ import annotations
 
@@ -6,45 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hamming import components, hamming_links, node_of
+from .shingles import remixed, shingle_hashes
+from .similar import similar_components
 from .util import located, locator, stored, text_of
 
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: 64 bits in two halves: no pair of at most 4 (indeed 5) differing bits is lost.
 HALVES = ((0, 0, 32), (0, 32, 32))
-#: Seven segments of a 256-bit print. At a similarity of 0.8 a bit differs with probability 0.15, a segment is
-#: within two bits with probability 0.40 and one of seven is with 0.97; 94 % of such pairs are within 48 bits.
-WIDE = tuple((w, s, 20) for w, s in ((0, 0), (0, 20), (0, 40), (1, 0), (1, 20), (1, 40), (2, 0)))
-WIDE_LIMIT = 48
-
-
-def shingle_hashes(text: bytes, size: int) -> np.ndarray:
-    """XXH64 (seed 42) of every ``size``-word shingle of the lower-cased text, repeats included."""
-    words = text.translate(LOWER).split()  # ASCII white space, as [^\x20\x09-\x0D]+ has it
-    if not words:
-        return np.empty(0, np.uint64)
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    n = max(1, len(words) - size + 1)
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter(
-        (digest(line[s:e], 42) for s, e in zip(starts[:n].tolist(), ends[min(size, len(words)) - 1:].tolist())),
-        np.uint64, n)
-
-
-def remixed(h: np.ndarray, j: int) -> np.ndarray:
-    """The j-th of several independent 64-bit values from a hash; the first is the hash itself."""
-    if j == 0:
-        return h
-    x = h + np.uint64(0x9E3779B97F4A7C15 * j % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def fingerprint(text: bytes, size: int, words: int, distinct: bool) -> list[int]:
@@ -107,19 +78,15 @@ def simhash_components(docs: DataFrame, size: int = 4, limit: int = 4) -> DataFr
         "doc_id", F.lpad(F.lower(F.hex("p0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id stays.
 
-    256-bit prints over the distinct shingles of ``size`` words; the limit takes in pairs with a shingle
-    similarity of 0.8 or more (see ``WIDE``). A null doc_id gives way to any other; rows that repeat a
-    doc_id are told apart by their place in the table.
+    Rows are linked if the Jaccard similarity of their distinct shingles of ``size`` words is ``threshold`` or more, and
+    groups are what links connect (see ``similar``). Texts without words are equal. A null doc_id gives way to any other;
+    rows that repeat a doc_id are told apart by their place in the table.
     """
     docs = located(docs)
-    rows = stored(fingerprints(docs.select("doc_id", text_of().alias("text"), *locator()), size, 4, True), "wide")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row")
-    prints = rows.groupBy("p0", "p1", "p2", "p3").agg(F.min(rank).alias("first"))
-    rooted = print_components(prints, WIDE, limit)
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+    kept = similar_components(docs, size, threshold).groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.file").alias("_near_file"), F.col("first.row").alias("_near_row"))
     marks = [c.alias(f"_near_{n}") for c, n in zip(locator(), ("file", "row"))]
     return docs.select("*", *marks).join(kept, ["_near_file", "_near_row"], "left_semi").select(
