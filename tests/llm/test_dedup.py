@@ -199,3 +199,23 @@ def test_near_below_the_threshold_stays(spark):
         docs += [(s, a), (100 + s, b)]
     kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == brute_near(docs, 0.8) == sorted(i for i, _ in docs)
+
+
+def test_near_pairs_around_the_threshold(spark):
+    """Every pair of 0.8 or more is found and none below it, by brute force over pairs from 0.77 to 0.84."""
+    docs = []
+    for s in range(120):
+        a, b = edited(s, 400, (8, 8, 7, 9, 10)[s % 5])
+        docs += [(s, a), (1000 + s, b)]
+    docs += [(2000 + s, prose(s, 60) + " " + " ".join(docs[2 * s][1].split()[:350])) for s in range(20)]
+    kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    want = brute_near(docs, 0.8)
+    assert sorted(r.doc_id for r in kept.collect()) == want and len(docs) - len(want) >= 72
+
+
+def test_near_group_in_a_chain(spark):
+    """Groups are what links connect, also where the ends of a chain are not similar."""
+    words = [f"c{k}" for k in range(340)]
+    docs = [(k, " ".join(words[k * 12:k * 12 + 200])) for k in range(12)]
+    kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == brute_near(docs, 0.8) == [0]
