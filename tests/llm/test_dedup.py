@@ -219,3 +219,32 @@ def test_near_group_in_a_chain(spark):
     docs = [(k, " ".join(words[k * 12:k * 12 + 200])) for k in range(12)]
     kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == brute_near(docs, 0.8) == [0]
+
+
+def test_no_passage_is_lost_everywhere(spark):
+    """A run whose chunks have several first holders is cut chunk by chunk."""
+    opening, body = prose(900, 14), " ".join(f"{w}{k}" for k, w in enumerate(prose(901, 400).split()))
+    x, y, z = (" ".join(f"{w}{k}{n}" for k, w in enumerate(prose(910 + k, 45).split())) for k, n in enumerate("xyz"))
+    docs = [(1, f"{opening} {prose(902, 60)}"), (5, f"{opening} {body}"), (9, f"{opening} {body}"),
+            (11, f"{x} {y}"), (15, f"{x} {y} {z}"), (19, f"{y} {z}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    cleaned = dict(map(tuple, without_repeats(df).collect()))
+    assert cleaned[5].endswith(body) and len(cleaned[9]) < 100
+    assert sum(len(cleaned[i]) for i in (11, 15, 19)) < sum(map(len, (x, y, z, y, z)))
+    holders = defaultdict(list)
+    for i, text in docs:
+        for d in chunk_texts([text.encode()])[0].tolist():
+            holders[d].append(i)
+    texts = {i: t.encode() for i, t in docs}
+    for r in repeated_passages(df).collect():
+        digests, _, span = chunk_texts([texts[r.doc_id]])
+        held = Counter()
+        for d, s in zip(digests.tolist(), span.tolist()):
+            if r.start <= s >> 32 < r.start + r.length:
+                held[min(holders[d])] += s >> 14 & 127
+        assert held[r.first_doc_id] == max(held.values()) and sum(held.values()) - held[r.first_doc_id] < 16
+    for i, text in texts.items():
+        _, _, span = chunk_texts([text])
+        for s in span.tolist():
+            chunk = text[s >> 32:(s >> 32) + (s >> 21 & 0x7FF)].decode()
+            assert any(chunk in t for t in cleaned.values())

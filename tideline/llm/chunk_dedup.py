@@ -103,15 +103,8 @@ def document_chunks(docs: DataFrame) -> DataFrame:
         run, "digest long, doc long, span long")
 
 
-def repeated_passages(docs: DataFrame, span_words: int = SPAN_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
-    """One row per repeated passage and document: doc_id, start, length, words, first_doc_id.
-
-    ``start`` and ``length`` are bytes of the UTF-8 text and cover the whole chunks of the passage;
-    ``first_doc_id`` is the smallest document that holds its first chunk (the document itself, if it holds
-    the copy that stays). Documents without repeated passages have no rows. A null or empty text has no
-    chunks; a null doc_id is replaced by a hash of the text; rows that share a doc_id are one document, so
-    what repeats between them only is not reported. Other columns are not read.
-    """
+def passage_stretches(docs: DataFrame, span_words: int = SPAN_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
+    """(doc, run, start, length, words, first): the repeated passages of each document, broken where the first holder of their chunks changes."""
     chunks = document_chunks(docs)
     held = chunks.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where(
         "first < last").select("digest", "first")
@@ -121,19 +114,44 @@ def repeated_passages(docs: DataFrame, span_words: int = SPAN_WORDS, sure_words:
         field(14, 7).alias("words"), field(7, 7).alias("before"), F.col("span").bitwiseAND(F.lit(127)).alias("after"))
     along = Window.partitionBy("doc").orderBy("start", "length")
     broken = F.coalesce(F.lag(F.col("start") + F.col("length")).over(along) != F.col("start"), F.lit(True))
-    runs = hits.distinct().withColumn("broken", broken.cast("int")).withColumn("run", F.sum("broken").over(along))
-    passages = runs.groupBy("doc", "run").agg(
+    changed = broken | (F.lag("first").over(along) != F.col("first"))
+    runs = hits.distinct().withColumn("broken", broken.cast("int")).withColumn("changed", changed.cast("int"))
+    runs = runs.withColumn("run", F.sum("broken").over(along)).withColumn("stretch", F.sum("changed").over(along))
+    stretches = runs.groupBy("doc", "run", "stretch").agg(
         F.min("start").alias("start"), F.sum("length").alias("length"), F.sum("words").alias("words"),
-        F.min_by("first", "start").alias("first_doc_id"),
+        F.min("first").alias("first"),
         F.min_by("before", "start").alias("before"), F.max_by("after", "start").alias("after"))
-    return passages.where((F.col("words") >= sure_words) & (F.col("words") + F.col("before") + F.col("after") >= span_words)).select(
+    passage = Window.partitionBy("doc", "run")
+    sure = F.sum("words").over(passage)
+    reach = sure + F.min_by("before", "start").over(passage) + F.max_by("after", "start").over(passage)
+    return stretches.withColumn("sure", sure).withColumn("reach", reach).where(
+        (F.col("sure") >= sure_words) & (F.col("reach") >= span_words)).select(
+        "doc", "run", "start", "length", "words", "first")
+
+
+def repeated_passages(docs: DataFrame, span_words: int = SPAN_WORDS, sure_words: int = SURE_WORDS) -> DataFrame:
+    """One row per repeated passage and document: doc_id, start, length, words, first_doc_id.
+
+    A passage is a run of chunks that other documents hold too; it has a row for each stretch of chunks with the
+    same first holder, a stretch of less than ``sure_words`` goes with the one before (the first ones with the one
+    after). ``start`` and ``length`` are bytes of the UTF-8 text and cover whole chunks; ``first_doc_id`` is the
+    smallest document that holds the chunks of the row's longest stretch (the document itself, if it holds the copy
+    that stays). Documents without repeated passages have no rows. A null or empty text has no chunks; a null doc_id
+    is replaced by a hash of the text; rows that share a doc_id are one document, so what repeats between them only
+    is not reported. Other columns are not read.
+    """
+    along = Window.partitionBy("doc", "run").orderBy("start")
+    part = F.greatest(F.lit(1), F.sum((F.col("words") >= sure_words).cast("int")).over(along))
+    return passage_stretches(docs, span_words, sure_words).withColumn("part", part).groupBy("doc", "run", "part").agg(
+        F.min("start").alias("start"), F.sum("length").alias("length"), F.sum("words").alias("words"),
+        F.max_by("first", F.struct("words", -F.col("start"))).alias("first_doc_id")).select(
         F.col("doc").alias("doc_id"), "start", "length", "words", "first_doc_id")
 
 
 def without_repeats(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with repeated passages cut from all documents but the first that holds each."""
-    cuts = stored(repeated_passages(docs, **parameters).where("doc_id != first_doc_id"), "passages").groupBy(
-        F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cuts"))
+    """``docs`` with repeated passages cut, each chunk of them from all documents but the first that holds it."""
+    cuts = stored(passage_stretches(docs, **parameters).where("doc != first"), "passages").groupBy(
+        F.col("doc").alias("_doc")).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_cuts"))
     rows = docs.withColumn("_key", F.coalesce("doc_id", F.xxhash64("text"))).join(cuts, F.col("_key") == F.col("_doc"), "left")
     raw = F.encode("text", "UTF-8")
     start = F.struct(F.lit(b"").alias("out"), F.lit(0).cast("long").alias("at"))
