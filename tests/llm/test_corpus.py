@@ -239,3 +239,14 @@ def test_pipeline(spark):
 def test_plan_without_sources(spark):
     empty = spark.createDataFrame([], "key string, h long, size long")
     assert mix_plan(empty).count() == 0
+
+
+def test_every_trusted_row_counts(spark):
+    """A language whose trusted rows hash behind 200,000 others has a model and a threshold."""
+    last = [r.id for r in spark.range(200_400).orderBy(F.xxhash64("id").desc()).limit(40).collect()]
+    docs = [(i, prose(i, 120), "rare") for i in last] + [(900_000, " ".join(f"{w}$#%" for w in prose(1, 100).upper().split()), "rare")]
+    labels = spark.range(200_400).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in score_quality(df, labels).collect()}
+    assert all(r.threshold is not None for r in got.values()) and not got[900_000].kept
+    assert 900_000 not in {r.doc_id for r in keep_good(df, labels).collect()}

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .postings import HEADER, partial_sums, postings, sums_by_document, tasks_per_shard, unpack_numbers, unpacked
+from .postings import HEADER, partial_sums, postings, sums_by_document, tasks_per_shard, unpack_numbers, unpacked, whole
 from .util import stored, text_of
 
 #: A character takes 21 bits of a token; the start and end of a text count as characters.
@@ -23,8 +23,6 @@ MASK = (1 << BITS) - 1
 START, END = "\x02", "\x03"
 #: Characters whose trigrams are counted at a time.
 WINDOW = 1 << 19
-#: At most so many labelled rows (lowest hash first) train the model; their ids are shipped to every task.
-TRUSTED_ROWS = 200_000
 #: A document is rejected above this quantile of its language's trusted documents, plus a margin in nats.
 QUANTILE = 0.995
 MARGIN = 0.25
@@ -72,18 +70,29 @@ def trigrams(texts: pa.Array, shards: int):
             np.concatenate(often))
 
 
+def trusted_flags(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """(batch, flags): which documents of each batch have their doc_id in ``keys``; a bit per document when stored."""
+    ids = table.where(F.col("shard") == HEADER).select("batch", F.posexplode("ids").alias("at", "doc_id"))
+    found = ids.join(keys.select("doc_id", F.lit(True).alias("hit")), "doc_id", "left")
+    pairs = F.array_sort(F.collect_list(F.struct("at", F.coalesce("hit", F.lit(False)).alias("hit"))))
+    return stored(found.groupBy("batch").agg(pairs.getField("hit").alias("flags")), "flags")
+
+
 def gram_counts(table: DataFrame) -> DataFrame:
     """(lang, token, shard, c): every trigram of the corpus with its count in trusted text (0 if it has none)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for at in range(len(batch)) for r in batch.slice(at, 1).to_pylist()):
                 n = row["n"]
+                docs = np.frombuffer(whole(row["docs"]), "<u2")
+                sure = np.array(row["flags"], bool)[docs] * unpacked(row["freqs"], len(docs))
+                counts = unpacked(row["counts"], n)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["lang"]] * n, pa.string()), pa.array([row["shard"]] * n, pa.int32()),
-                    pa.array(unpack_numbers(row["tokens"])), pa.array(unpacked(row["trusted"], n))],
+                    pa.array(unpack_numbers(row["tokens"])), pa.array(np.add.reduceat(sure, np.cumsum(counts) - counts))],
                     ["lang", "shard", "token", "c"])
 
-    rows = table.where(F.col("shard") != HEADER).select("lang", "shard", "n", "tokens", "trusted")
+    rows = table.where(F.col("shard") != HEADER).select("lang", "shard", "n", "tokens", "counts", "docs", "freqs", "flags")
     return rows.mapInArrow(run, "lang string, shard int, token long, c long").groupBy("lang", "token", "shard").agg(
         F.sum("c").alias("c"))
 
@@ -175,11 +184,11 @@ def document_costs(table: DataFrame, costs: DataFrame) -> DataFrame:
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, prior: int = PRIOR,
-    trusted_rows: int = TRUSTED_ROWS, key: Column | None = None,
+    key: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, n_chars, perplexity, threshold, kept.
 
-    Trusted are documents labelled quality 1 and not toxic (at most ``trusted_rows`` of them). ``perplexity``
+    Trusted are all documents labelled quality 1 and not toxic. ``perplexity``
     is per character, a short text drawn to its language's mean by ``prior`` characters; ``threshold`` is the
     ``quantile`` of the language's trusted documents times exp(``margin``). A null or empty text has only an
     end to score. A null language is a language of its own; a language without trusted documents has null
@@ -189,15 +198,15 @@ def score_quality(
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     trusted = labels.where("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
-    trusted = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).withColumn("trusted", F.lit(True))
+    if key is not None:
+        trusted = docs.select("doc_id", key.alias("_key")).join(trusted, "doc_id").select(F.col("_key").alias("doc_id")).distinct()
     rows = docs.select(
-        F.col("doc_id").alias("id"), (F.col("doc_id") if key is None else key).alias("key"), text_of().alias("text"),
-        F.coalesce(F.concat(F.lit("="), "lang"), F.lit("~")).alias("lang"))
-    rows = rows.join(F.broadcast(trusted.withColumnRenamed("doc_id", "id")), "id", "left").select(
-        F.col("key").alias("doc_id"), "text", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        (F.col("doc_id") if key is None else key).alias("doc_id"), text_of().alias("text"),
+        F.coalesce(F.concat(F.lit("="), "lang"), F.lit("~")).alias("lang"), F.lit(False).alias("trusted"))
     table = postings(rows, trigrams, shards)
-    costs = stored(gram_costs(stored(gram_counts(table), "grams")), "costs")
-    scored = stored(sums_by_document(table, document_costs(table, costs)), "scored")
+    flagged = table.drop("flags").join(trusted_flags(table, trusted), "batch")
+    costs = stored(gram_costs(stored(gram_counts(flagged), "grams")), "costs")
+    scored = stored(sums_by_document(flagged, document_costs(table, costs)), "scored")
 
     sure = scored.where("trusted and size > 0")
     means = sure.groupBy("lang").agg((F.sum("total") / F.sum("size")).alias("mean"))
