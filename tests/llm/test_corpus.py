@@ -250,3 +250,11 @@ def test_every_trusted_row_counts(spark):
     got = {r.doc_id: r for r in score_quality(df, labels).collect()}
     assert all(r.threshold is not None for r in got.values()) and not got[900_000].kept
     assert 900_000 not in {r.doc_id for r in keep_good(df, labels).collect()}
+
+
+def test_threshold_is_near_the_quantile(spark):
+    """At most 0.1 nats on top of what trusted documents of the language reach."""
+    df = spark.createDataFrame([(i, prose(i, 30 + i), "en") for i in range(50)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    got = score_quality(df, labels).collect()
+    assert 0 <= math.log(got[0].threshold) - math.log(max(r.perplexity for r in got if r.doc_id < 30)) < 0.1

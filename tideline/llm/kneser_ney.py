@@ -23,9 +23,10 @@ MASK = (1 << BITS) - 1
 START, END = "\x02", "\x03"
 #: Characters whose trigrams are counted at a time.
 WINDOW = 1 << 19
-#: A document is rejected above this quantile of its language's trusted documents, plus a margin in nats.
+#: A document is rejected above this quantile of its language's trusted documents, plus a margin in nats for text the model
+#: has not seen: of the pairs tried none decides fewer held-out labelled rows wrongly (README has the rates).
 QUANTILE = 0.995
-MARGIN = 0.25
+MARGIN = 0.05
 #: A document's cross-entropy is drawn to its language's mean by so many characters.
 PRIOR = 60
 
