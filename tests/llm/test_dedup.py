@@ -117,14 +117,18 @@ def test_components_of_a_long_chain(spark):
 
 
 def test_near_copies(spark):
+    """One row of each component stays, the one with the smallest doc_id, as brute force has the components."""
     base = [prose(s, 300).split() for s in range(12)]
     docs = [(s, " ".join(b)) for s, b in enumerate(base)]
     docs += [(100 + s, " ".join([*b[:s * 9], "changed", *b[s * 9 + 1:]])) for s, b in enumerate(base)]
     docs += [(500, None), (501, "short one"), (502, "short one")]
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("p0", F.lit("x"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for name in ("p0", "file", "row", "first"):
+        df = df.withColumn(name, F.lit("mine"))
     kept = keep_one_of_each(df)
-    assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [*range(12), 500, 501]
+    assert kept.columns == df.columns and {r.file for r in kept.collect()} == {"mine"}
+    want = sorted({c for _, _, c in brute_components(docs, 4)})
+    assert sorted(r.doc_id for r in kept.collect()) == want and len(want) < 20
 
 
 def test_near_edge_cases(awkward, nameless, nothing):
@@ -170,57 +174,6 @@ def test_passage_edge_cases(awkward, nameless, nothing):
     assert without_repeats(awkward).columns == awkward.columns
 
 
-def edited(seed: int, n: int, edits: int) -> tuple[str, str]:
-    """A text of n words that hardly repeats and a copy with words changed far from one another."""
-    rng = np.random.default_rng(seed)
-    words = [f"w{k}" for k in rng.integers(0, 5000, n)]
-    other = list(words)
-    for k in range(edits):
-        other[3 + k * (n // max(1, edits))] = f"e{seed}x{k}"
-    return " ".join(words), " ".join(other)
-
-
-def brute_near(docs: list[tuple[int, str]], threshold: float) -> list[int]:
-    sets = [(i, set(shingle_hashes(t.encode(), 5).tolist())) for i, t in docs]
-    label = {i: i for i, _ in sets}
-    for k, (i, x) in enumerate(sets):
-        for j, y in sets[:k]:
-            if label[i] != label[j] and len(x & y) >= threshold * len(x | y):
-                old, new = max(label[i], label[j]), min(label[i], label[j])
-                label = {d: new if v == old else v for d, v in label.items()}
-    return sorted(set(label.values()))
-
-
-def test_near_below_the_threshold_stays(spark):
-    """Pairs at 0.60 to 0.79 are no near copies, whatever their prints are."""
-    docs = []
-    for s in range(40):
-        a, b = edited(s, 200, 5 + s % 4)
-        docs += [(s, a), (100 + s, b)]
-    kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == brute_near(docs, 0.8) == sorted(i for i, _ in docs)
-
-
-def test_near_pairs_around_the_threshold(spark):
-    """Every pair of 0.8 or more is found and none below it, by brute force over pairs from 0.77 to 0.84."""
-    docs = []
-    for s in range(120):
-        a, b = edited(s, 400, (8, 8, 7, 9, 10)[s % 5])
-        docs += [(s, a), (1000 + s, b)]
-    docs += [(2000 + s, prose(s, 60) + " " + " ".join(docs[2 * s][1].split()[:350])) for s in range(20)]
-    kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
-    want = brute_near(docs, 0.8)
-    assert sorted(r.doc_id for r in kept.collect()) == want and len(docs) - len(want) >= 72
-
-
-def test_near_group_in_a_chain(spark):
-    """Groups are what links connect, also where the ends of a chain are not similar."""
-    words = [f"c{k}" for k in range(340)]
-    docs = [(k, " ".join(words[k * 12:k * 12 + 200])) for k in range(12)]
-    kept = keep_one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == brute_near(docs, 0.8) == [0]
-
-
 def test_no_passage_is_lost_everywhere(spark):
     """A run whose chunks have several first holders is cut chunk by chunk."""
     opening, body = prose(900, 14), " ".join(f"{w}{k}" for k, w in enumerate(prose(901, 400).split()))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_dir
-from .util import located, locator, stored, text_of
+from .util import located, locator, rows_at, stored, text_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Copies that are compared with one shipped original; a larger group gets more originals.
@@ -30,6 +30,7 @@ def digest_state(arrivals: DataFrame, checkpoint: str, files_per_batch: int) ->
     for key, value in {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # no megabytes set aside per partition
         "spark.sql.shuffle.partitions": arrivals.sparkSession.conf.get("spark.sql.shuffle.partitions"),
     }.items():
         spark.conf.set(key, value)
@@ -46,10 +47,12 @@ def digest_state(arrivals: DataFrame, checkpoint: str, files_per_batch: int) ->
     if query.lastProgress is None:  # nothing arrived, so there is no state to read
         return arrivals.groupBy("digest").agg(
             F.max(F.struct("doc_id", "file", "row")).alias("kept"), F.count(F.lit(1)).alias("n"))
-    held = arrivals.sparkSession.read.format("statestore").load(checkpoint)
+    held = spark.read.format("statestore").load(checkpoint)  # with the session's store settings
     kept, n = held.schema["value"].dataType.names
-    return held.select(
-        "key.digest", F.col("value").getField(kept).alias("kept"), F.col("value").getField(n).alias("n"))
+    held = held.select("key.digest", F.col("value").getField(kept).alias("kept"), F.col("value").getField(n).alias("n"))
+    path = new_dir(arrivals.sparkSession, "held")
+    held.write.parquet(path)
+    return arrivals.sparkSession.read.schema(held.schema).parquet(path)
 
 
 def exact_dedup(
@@ -67,7 +70,7 @@ def exact_dedup(
     arrivals = stored(
         rows.select(digest(F.col("text")).alias("digest"), F.sha2("text", 256).alias("text_sha256"),
                     "doc_id", "file", "row"), "digests")
-    state = stored(digest_state(arrivals.drop("text_sha256"), new_dir(spark, "state"), files_per_batch), "held")
+    state = digest_state(arrivals.drop("text_sha256"), new_dir(spark, "state"), files_per_batch)
     grouped = arrivals.join(state, "digest")
 
     # full bytes on hits: copies meet the kept row under (digest, salt), so a large group spreads
@@ -97,8 +100,4 @@ def exact_dedup(
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact deduplication keeps, all columns."""
     docs = located(docs)
-    marks = [c.alias(f"_dedup_{n}") for c, n in zip(locator(), ("file", "row"))]
-    kept = exact_dedup(docs).where("kept").select(
-        F.col("file").alias("_dedup_file"), F.col("row").alias("_dedup_row"))
-    return docs.select("*", *marks).join(kept, ["_dedup_file", "_dedup_row"], "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return rows_at(docs, exact_dedup(docs).where("kept").select("file", "row"))

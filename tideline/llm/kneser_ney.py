@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .postings import HEADER, partial_sums, postings, sums_by_document, tasks_per_shard, unpack_numbers, unpacked, whole
-from .util import stored, text_of
+from .util import located, locator, rows_at, stored, text_of
 
 #: A character takes 21 bits of a token; the start and end of a text count as characters.
 BITS = 21
@@ -222,8 +222,9 @@ def score_quality(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, all columns."""
-    key = F.xxhash64("doc_id", "text", "lang")
-    bad = score_quality(docs, labels, key=key, **parameters).where("not kept").select(F.col("doc_id").alias("_bad"))
-    return docs.withColumn("_key", key).join(bad, F.col("_key") == F.col("_bad"), "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that the classifier keeps, all columns; rows are told apart by a hash of their place."""
+    docs = located(docs)
+    key = F.xxhash64(*locator())
+    bad = score_quality(docs, labels, key=key, **parameters).where("not kept").select(F.col("doc_id").alias("key"))
+    places = docs.select(*locator()).withColumn("key", F.xxhash64("file", "row")).join(bad, "key", "left_semi")
+    return rows_at(docs, places.select("file", "row"), "left_anti")

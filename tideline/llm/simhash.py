@@ -1,4 +1,4 @@
-"""SimHash near-duplicate detection with multi-index hashing, and near copies by verified similarity."""
+"""SimHash near-duplicate detection with multi-index hashing."""
 
 from __future__ import annotations
 
@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from .hamming import components, hamming_links, node_of
 from .shingles import remixed, shingle_hashes
-from .similar import similar_components
-from .util import located, locator, stored, text_of
+from .util import located, locator, rows_at, stored, text_of
 
 #: 64 bits in two halves: no pair of at most 4 (indeed 5) differing bits is lost.
 HALVES = ((0, 0, 32), (0, 32, 32))
@@ -78,16 +77,14 @@ def simhash_components(docs: DataFrame, size: int = 4, limit: int = 4) -> DataFr
         "doc_id", F.lpad(F.lower(F.hex("p0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id stays.
+def keep_one_of_each(docs: DataFrame, size: int = 4, limit: int = 4) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component of ``simhash_components`` the row with the smallest doc_id stays.
 
-    Rows are linked if the Jaccard similarity of their distinct shingles of ``size`` words is ``threshold`` or more, and
-    groups are what links connect (see ``similar``). Texts without words are equal. A null doc_id gives way to any other;
-    rows that repeat a doc_id are told apart by their place in the table.
+    Texts without words are one group. A null doc_id gives way to any other; rows that repeat a doc_id are told
+    apart by their place in the table (the earlier one stays). An empty table gives an empty result.
     """
     docs = located(docs)
-    kept = similar_components(docs, size, threshold).groupBy("root").agg(F.min("first").alias("first")).select(
-        F.col("first.file").alias("_near_file"), F.col("first.row").alias("_near_row"))
-    marks = [c.alias(f"_near_{n}") for c, n in zip(locator(), ("file", "row"))]
-    return docs.select("*", *marks).join(kept, ["_near_file", "_near_row"], "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row")
+    prints = fingerprints(docs.select("doc_id", text_of().alias("text"), *locator()), size).groupBy("p0").agg(F.min(rank).alias("first"))
+    kept = print_components(stored(prints, "prints"), HALVES, limit).groupBy("root").agg(F.min("first").alias("first"))
+    return rows_at(docs, kept.select("first.file", "first.row"))

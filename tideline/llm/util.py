@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +37,24 @@ def locator() -> list[Column]:
     return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
 
 
+def free_names(df: DataFrame, *names: str) -> Iterator[str]:
+    """Names like ``names`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        yield name
+
+
+def rows_at(docs: DataFrame, places: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The file rows ``docs`` whose place is (``left_semi``) or is not (``left_anti``) among ``places`` (file, row)."""
+    names = list(free_names(docs, "file", "row"))
+    places = places.select(*[F.col(c).alias(n) for c, n in zip(("file", "row"), names)])
+    marked = docs.select("*", *[c.alias(n) for c, n in zip(locator(), names)])
+    return marked.join(places, names, how).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def words(column: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+``."""
     return F.regexp_count(column, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
