@@ -1,4 +1,4 @@
-"""The registered queries op1 .. op10, each over its whole table, and their SQL where SQL can say it."""
+"""The registered queries op1 .. op13, each over its whole table, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_dir
+from .alignment import align_tokenizers
 from .chunk_dedup import repeated_passages
 from .exact_dedup import exact_dedup
 from .kneser_ney import score_quality
 from .mixing import mix_sources
 from .packing import pack_documents
+from .pii import find_personal_data
 from .pivot_search import top_k
+from .rtree_search import hard_negatives
 from .simhash import simhash_components
 from .token_counts import token_counts
 from .token_store import fetch, write_store
@@ -71,10 +74,24 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf, "embeddings").withColumn("label", moved), F.pmod("vec_id", F.lit(100)) == 0)
+
+
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return find_personal_data(table(spark, sf, "documents"))
+
+
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1, "op2_exact_top_k": op2, "op3_source_mix": op3, "op4_simhash": op4,
     "op5_substring_dedup": op5, "op6_quality": op6, "op7_token_counts": op7, "op8_url_filter": op8,
-    "op9_token_store": op9, "op10_packing": op10,
+    "op9_token_store": op9, "op10_packing": op10, "op11_hard_negatives": op11, "op12_personal_data": op12,
+    "op13_tokenizer_alignment": op13,
 }
 
 FITS = [
@@ -110,4 +127,26 @@ ORACLES = {
                     WHEN regexp_matches(host, '(^|[.])({ANY_WORD})-({ANY_WORD})([.]|$)') THEN 'block'
                     ELSE 'allow' END AS verdict
         FROM u""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                   row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+            FROM s WHERE same),
+        n AS (
+            SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND place <= 5
+             AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 10""",
 }

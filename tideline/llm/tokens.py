@@ -7,7 +7,7 @@ has not met are given to the tokenizer. The ids are those of encoding the text a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,10 +17,10 @@ import pyarrow.compute as pc
 MARK = "\x1e"
 SPACE = "[\t-\r \u0085   -     　]"
 LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
-#: Text bytes that are cut and numbered at a time, and chunks a worker remembers.
+#: Text bytes that are cut and numbered at a time, and chunks of a generation that a worker remembers.
 SLICE_BYTES = 8 << 20
 SLICE_ROWS = 50_000
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
@@ -42,14 +42,17 @@ def plain_space(texts: pa.Array) -> bool:
     return not (other.any() or after_c2.any() or (space[:-1] & space[1:]).any())
 
 
-def chunk_lists(texts: pa.Array, punctuation: bool = True, space: str = SPACE) -> pa.ListArray:
-    """The chunks of every text, cut before runs of ``space``; a text that holds the mark itself is one chunk."""
+def chunk_lists(texts: pa.Array, punctuation: bool = True, space: str = SPACE, cut: tuple[str, str] | None = None) -> pa.ListArray:
+    """The chunks of every text, cut before runs of ``space`` (or as ``cut``, a pattern and its replacement, says).
+
+    A text that holds the mark itself is one chunk.
+    """
     odd = pc.match_substring(texts, MARK)
     clean = pc.if_else(odd, "", texts)
     if plain_space(clean):
         marked = pc.replace_substring(pc.replace_substring(clean, " ", MARK + " "), "\n", MARK + "\n")
     else:
-        marked = pc.replace_substring_regex(clean, f"({space}+)", MARK + "\\1")
+        marked = pc.replace_substring_regex(clean, *(cut or (f"({space}+)", MARK + "\\1")))
     if punctuation:
         marked = pc.replace_substring_regex(marked, f"({LETTER})([,.!?]+){MARK}", f"\\1{MARK}\\2{MARK}")
     lists = pc.split_pattern(marked, MARK)
@@ -61,24 +64,57 @@ def chunk_lists(texts: pa.Array, punctuation: bool = True, space: str = SPACE) -
     return pa.concat_arrays([lists, whole]).take(pa.array(order))
 
 
+class Memory:
+    """What is known of keys, in two generations: past ``most`` entries those not asked for in the last one go."""
+
+    def __init__(self, learn: Callable[[list[str]], Iterable], most: int = REMEMBERED) -> None:
+        self.learn, self.most = learn, most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __call__(self, keys: list[str]) -> list:
+        """The values of distinct ``keys``; ``learn`` gives those of keys that are not known."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new = []
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    new.append(key)
+        young.update(zip(new, self.learn(new)))
+        return [young[key] for key in keys]
+
+
 class Encoder:
-    """Encodes arrays of texts; ``special`` is a special token that separates chunks in one call."""
+    """Encodes arrays of texts; ``special`` is a special token that separates chunks in one call.
+
+    Its string inside a text is the token, or with ``ordinary`` plain text like any other.
+    """
 
-    def __init__(self, path: str, special: str) -> None:
+    def __init__(self, path: str, special: str, ordinary: bool = False) -> None:
         import os
 
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = self.alone = Tokenizer.from_file(path)
+        if ordinary:
+            self.alone = Tokenizer.from_file(path)
+            self.alone.encode_special_tokens = True
         self.special, self.special_id = special, self.tokenizer.token_to_id(special)
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, chunks: list[str]) -> None:
-        alone = [c for c in chunks if self.special in c]
-        for c, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
-        chunks = [c for c in chunks if self.special not in c]
+        self.blobs = Memory(self.learn)
+
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of every chunk as bytes."""
+        found = dict.fromkeys(chunks, b"")
+        alone = [c for c in chunks if "<" in c and "|" in c]  # special tokens of the vocabularies are written so
+        for c, e in zip(alone, self.alone.encode_batch_fast(alone, add_special_tokens=False)):
+            found[c] = np.array(e.ids, "<u4").tobytes()
+        known = set(alone)
+        chunks = [c for c in chunks if c not in known]
         groups = [chunks[i:i + 256] for i in range(0, len(chunks), 256)]
         lines = [self.special.join(g) for g in groups]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
@@ -86,18 +122,16 @@ class Encoder:
             ends = np.append(np.flatnonzero(ids == self.special_id), len(ids)).tolist()
             start = 0
             for c, end in zip(group, ends):
-                self.known[c] = ids[start:end].tobytes()
+                found[c] = ids[start:end].tobytes()
                 start = end + 1
+        return list(found.values())
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in a row, and the offset of each text in them (one more than texts)."""
         lists = chunk_lists(texts)
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.learn([c for c in chunks if c not in self.known])
-        blobs = [self.known[c] for c in chunks]
+        blobs = self.blobs(chunks)
         table = np.frombuffer(b"".join(blobs), "<u4")
         sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
         starts = np.cumsum(sizes) - sizes
@@ -109,6 +143,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, special: str = "<|endoftext|>") -> Encoder:
+def encoder(path: str, special: str = "<|endoftext|>", ordinary: bool = False) -> Encoder:
     """One encoder per worker and vocabulary; what it remembers outlives a task."""
-    return Encoder(path, special)
+    return Encoder(path, special, ordinary)
