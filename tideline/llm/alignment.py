@@ -12,6 +12,7 @@ import hashlib
 import pickle
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .postings import small, whole
 from .token_counts import piece_model
 from .token_store import PerfectHash
-from .tokens import MARK, SPACE, Memory, chunk_lists, encoder, slices
+from .tokens import MARK, SPACE, Memory, chunk_lists, encoder, packed, slices
 from .util import located, locator, stored, text_of
 
 #: Cut before a blank or line end after something else than white space: neither tokenizer has a token across.
@@ -55,18 +56,18 @@ def piece_bytes(path: str) -> list[bytes]:
 
 
 class Side:
-    """One tokenizer: ids of chunks, and what an id stands for."""
+    """What the ids of one tokenizer stand for."""
 
-    def __init__(self, table: list[bytes], learn) -> None:
+    def __init__(self, table: list[bytes]) -> None:
         self.bytes = pa.array(table, pa.large_binary())
         self.lengths = np.array([len(b) for b in table], np.int64)
         self.names = pa.array([str(i) for i in range(len(table))])
-        self.recall = Memory(learn)
 
-    def __call__(self, chunks: list[str], whole_texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        blobs = self.recall(chunks) + whole_texts
+    @staticmethod
+    def laid_out(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the offset of each blob in them."""
         ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
-        return ids, np.concatenate(([0], np.cumsum([len(b) >> 2 for b in blobs], dtype=np.int64)))
+        return ids, np.concatenate(([0], np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2)))
 
 
 class Aligned(NamedTuple):
@@ -79,46 +80,47 @@ class Aligned(NamedTuple):
     groups: pa.Array | None
 
 
-def packed(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
-
-
 class Aligner:
     """Aligns chunks of texts that start with a blank."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.encoder, self.model = encoder(path_a, ordinary=True), piece_model(path_b)
-        self.a = Side(byte_level_bytes(path_a), self.encoder.learn)
+        self.a, self.b = Side(byte_level_bytes(path_a)), Side(piece_bytes(path_b))
         self.blank = packed([self.model.piece_to_id("▁")])
-        self.b = Side(piece_bytes(path_b), self.pieces)
+        self.recall = Memory(lambda chunks: zip(self.encoder.learn(chunks), self.pieces(chunks)))
 
     def pieces(self, chunks: list[str]) -> list[bytes]:
         """The model puts a blank in front: a chunk's own goes before, that of a chunk with a line end goes after."""
         found = self.model.encode([c[1:] if c[:1] == " " else c for c in chunks], num_threads=1)
-        return [self.blank if c == " " else packed(p[c[:1] == "\n":]) for c, p in zip(chunks, found)]
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        data = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1]) if len(ends) else 0).tobytes()
+        blobs = [data[s:e] for s, e in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]
+        return [b if c[:1] == " " and c != " " else self.blank if c == " " else b[4:] if c[:1] == "\n" else b for c, b in zip(chunks, blobs)]
 
     def align(self, chunks: pa.Array, texts: list[str], strings: bool) -> Aligned:
         """All ``chunks``, and behind them ``texts``, encoded whole."""
-        a, a_at = self.a(chunks.to_pylist(), [packed(self.encoder.alone.encode(t, add_special_tokens=False).ids) for t in texts])
-        b, b_at = self.b(chunks.to_pylist(), [packed(self.model.encode(t[1:])) for t in texts])
+        known = self.recall(chunks.to_pylist())
+        known += [(packed(self.encoder.alone.encode(t, add_special_tokens=False).ids), packed(self.model.encode(t[1:]))) for t in texts]
+        (a, a_at), (b, b_at) = (Side.laid_out([k[i] for k in known]) for i in (0, 1))
         chunks = pa.concat_arrays([chunks, pa.array(texts, chunks.type)]).cast(pa.large_binary())
         odd = self.differs(self.a, a, a_at, chunks) | self.differs(self.b, b, b_at, chunks)
         if odd.any():
             a, a_at = without(a, a_at, odd)
             b, b_at = without(b, b_at, odd)
-        a_ends, b_ends = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
         chunk_ends = np.cumsum(np.where(odd, 0, pc.binary_length(chunks).to_numpy(zero_copy_only=False)))
+        marks = np.zeros((2, int(chunk_ends[-1]) + 1 if len(chunk_ends) else 1), bool)
+        for mark, side, ids in zip(marks, (self.a, self.b), (a, b)):
+            mark[np.cumsum(side.lengths[ids])] = True
         # a token of each ends at every end of a stretch, or goes on: stretches and overlapping pairs are the same
-        stretches = np.union1d(a_ends, b_ends)
-        links = a[np.searchsorted(a_ends, stretches)] << 32 | b[np.searchsorted(b_ends, stretches)]
-        link_at = np.concatenate(([0], np.searchsorted(stretches, chunk_ends, side="right")))
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        group_at = np.concatenate(([0], np.searchsorted(common, chunk_ends, side="right")))
+        stretches, common = np.flatnonzero(marks[0] | marks[1]), np.flatnonzero(marks[0] & marks[1])
+        before = [np.cumsum(mark, dtype=np.int64) - mark for mark in marks]
+        links = a[before[0][stretches]] << 32 | b[before[1][stretches]]
+        link_at, group_at = (np.concatenate(([0], np.searchsorted(x, chunk_ends, side="right"))) for x in (stretches, common))
         n = np.stack([np.diff(a_at), np.diff(b_at), np.diff(group_at), np.diff(link_at)])
         groups = None
         if strings:
-            sides = [joined(side.names, ids, np.concatenate(([0], np.searchsorted(ends, common, side="right"))), ",")
-                     for side, ids, ends in ((self.a, a, a_ends), (self.b, b, b_ends))]
+            sides = [joined(side.names, ids, np.concatenate(([0], (past + mark)[common])), ",")
+                     for side, ids, past, mark in ((self.a, a, before[0], marks[0]), (self.b, b, before[1], marks[1]))]
             groups = joined(pc.binary_join_element_wise(*sides, "|"), np.arange(len(common)), group_at, ";")
         return Aligned(odd, n, links, link_at, groups)
 
@@ -332,11 +334,10 @@ def scored(docs: DataFrame, path_a: str, path_b: str, shared, buckets: int, plac
                 ids = [batch.column(c).slice(at, len(texts)) for c in ("doc_id", *extra)]
                 at += len(texts)
                 codes, doc_at, found = aligned_texts(texts, align, strings=True)
-                pairs, back = np.unique(found.links, return_inverse=True)
-                place = number(pairs, buckets)
-                n = np.where(place >= 0, counts[place], 0) if len(counts) else np.zeros(len(pairs), np.int64)
-                top = (place >= 0) & (n == best[pairs & 0xFFFFFFFF])
-                sums = [summed(x[back], found.link_at) for x in (top, n)]
+                place = number(found.links, buckets)
+                n = np.where(place >= 0, counts[place], 0) if len(counts) else np.zeros(len(place), np.int64)
+                top = (place >= 0) & (n == best[found.links & 0xFFFFFFFF])
+                sums = [summed(x, found.link_at) for x in (top, n)]
                 columns = [summed(x[codes], doc_at) for x in (*found.n, *sums)]
                 lines = joined(found.groups, codes, doc_at, ";").to_pylist()
                 digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in lines]

@@ -64,13 +64,17 @@ def chunk_lists(texts: pa.Array, punctuation: bool = True, space: str = SPACE, c
     return pa.concat_arrays([lists, whole]).take(pa.array(order))
 
 
+def packed(ids) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 class Memory:
     """What is known of keys, in two generations: past ``most`` entries those not asked for in the last one go."""
 
     def __init__(self, learn: Callable[[list[str]], Iterable], most: int = REMEMBERED) -> None:
         self.learn, self.most = learn, most
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict = {}
+        self.old: dict = {}
 
     def __call__(self, keys: list[str]) -> list:
         """The values of distinct ``keys``; ``learn`` gives those of keys that are not known."""
@@ -109,22 +113,21 @@ class Encoder:
 
     def learn(self, chunks: list[str]) -> list[bytes]:
         """The ids of every chunk as bytes."""
-        found = dict.fromkeys(chunks, b"")
         alone = [c for c in chunks if "<" in c and "|" in c]  # special tokens of the vocabularies are written so
-        for c, e in zip(alone, self.alone.encode_batch_fast(alone, add_special_tokens=False)):
-            found[c] = np.array(e.ids, "<u4").tobytes()
-        known = set(alone)
-        chunks = [c for c in chunks if c not in known]
-        groups = [chunks[i:i + 256] for i in range(0, len(chunks), 256)]
-        lines = [self.special.join(g) for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+        apart = dict(zip(alone, (packed(e.ids) for e in self.alone.encode_batch_fast(alone, add_special_tokens=False))))
+        rest = [c for c in chunks if c not in apart] if apart else chunks
+        groups = [rest[i:i + 256] for i in range(0, len(rest), 256)]
+        lines = self.tokenizer.encode_batch_fast([self.special.join(g) for g in groups], add_special_tokens=False)
+        found = []
+        for group, e in zip(groups, lines):
             ids = np.array(e.ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.special_id), len(ids)).tolist()
-            start = 0
-            for c, end in zip(group, ends):
-                found[c] = ids[start:end].tobytes()
-                start = end + 1
-        return list(found.values())
+            ends = 4 * np.append(np.flatnonzero(ids == self.special_id), len(ids))
+            data = ids.tobytes()
+            found += [data[s:t] for s, t in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist())]
+        if not apart:
+            return found
+        known = dict(zip(rest, found))
+        return [apart[c] if c in apart else known[c] for c in chunks]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in a row, and the offset of each text in them (one more than texts)."""
@@ -133,7 +136,7 @@ class Encoder:
         chunks = coded.dictionary.to_pylist()
         blobs = self.blobs(chunks)
         table = np.frombuffer(b"".join(blobs), "<u4")
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
         starts = np.cumsum(sizes) - sizes
         codes = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[codes]
