@@ -31,6 +31,11 @@ def digest_state(arrivals: DataFrame, checkpoint: str, files_per_batch: int) ->
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # no megabytes set aside per partition
+        # the state partitions of an executor share one bounded memory, however many there are
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+        "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "1",
+        "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "2",
         "spark.sql.shuffle.partitions": arrivals.sparkSession.conf.get("spark.sql.shuffle.partitions"),
     }.items():
         spark.conf.set(key, value)
