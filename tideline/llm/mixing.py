@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import share, stored, text_of, words
+from .util import free_names, located, share, stored, text_of, words
 
 #: First level of the prefix sums over a source's permuted documents.
 BUCKET_BITS = 10
@@ -23,9 +23,13 @@ def source_key(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column), F.lit("~"))
 
 
-def permuted(doc_id: Column, seed: int) -> Column:
-    """A document's place in its source's permutation, 63 bits. Rows that share a doc_id move together."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id), 1)
+def permuted(seed: int) -> Column:
+    """A document's place in its source's permutation, 63 bits.
+
+    Rows that share a doc_id move together; a row without one moves by its text and its number in its file.
+    """
+    nameless = F.xxhash64(F.lit(seed), text_of(), F.col("_metadata.row_index"))
+    return F.shiftrightunsigned(F.when(F.col("doc_id").isNull(), nameless).otherwise(F.xxhash64(F.lit(seed), "doc_id")), 1)
 
 
 def source_targets(sizes: DataFrame, weights=(5, 2, 1), share_of_all: float = 1.0, max_repeat: int = 3) -> DataFrame:
@@ -171,11 +175,11 @@ def mix_sources(docs: DataFrame, seed: int = 7, max_repeat: int = 3, **plan) ->
 
     ``shards`` lists the output shard of each copy that the mix takes, ``taken`` the words of all
     copies. A null text has size 0; a null source is a source of its own, last in order; a source
-    without words has target 0. Rows with one doc_id (or none) share their fate. Other columns are
+    without words has target 0. Rows with one doc_id share their fate, rows without one are drawn each by itself. Other columns are
     not read; an empty table gives an empty result. Reruns agree: all draws come from hashes.
     """
-    sizes = stored(docs.select("doc_id", source_key(F.col("source")).alias("key"), words(text_of()).alias("size"),
-                               permuted(F.col("doc_id"), seed).alias("h")), "sizes")
+    sizes = stored(located(docs).select("doc_id", source_key(F.col("source")).alias("key"), words(text_of()).alias("size"),
+                                        permuted(seed).alias("h")), "sizes")
     plan_ = mix_plan(sizes, seed=seed, max_repeat=max_repeat, **plan)
     return sizes.join(plan_, "key").withColumn("shards", draws_of(F.col("h"), F.col("cuts"), max_repeat)).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "shards")
@@ -183,12 +187,12 @@ def mix_sources(docs: DataFrame, seed: int = 7, max_repeat: int = 3, **plan) ->
 
 def mixed_rows(docs: DataFrame, seed: int = 7, max_repeat: int = 3, shard_levels: int = 6, **plan) -> DataFrame:
     """The mix itself: rows of ``docs``, repeated as drawn, gathered by shard and shuffled inside each."""
-    sizes = stored(docs.select(source_key(F.col("source")).alias("key"), words(text_of()).alias("size"),
-                               permuted(F.col("doc_id"), seed).alias("h")), "sizes")
+    docs = located(docs)
+    sizes = stored(docs.select(source_key(F.col("source")).alias("key"), words(text_of()).alias("size"), permuted(seed).alias("h")), "sizes")
+    key, cuts, shard, h = free_names(docs, "key", "cuts", "shard", "h")
     plan_ = mix_plan(sizes, seed=seed, max_repeat=max_repeat, shard_levels=shard_levels, **plan).select(
-        F.col("key").alias("_mix_key"), F.col("cuts").alias("_mix_cuts"))
-    drawn = docs.join(plan_, source_key(docs["source"]) == F.col("_mix_key")).withColumn(
-        "_mix_shard", F.explode(draws_of(permuted(F.col("doc_id"), seed), F.col("_mix_cuts"), max_repeat)))
-    order = F.xxhash64(F.lit(seed), F.col("_mix_shard"), F.col("doc_id"))
-    return drawn.repartition(1 << shard_levels, "_mix_shard").sortWithinPartitions("_mix_shard", order).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+        F.col("key").alias(key), F.col("cuts").alias(cuts))
+    placed = docs.select("*", permuted(seed).alias(h), source_key(F.col("source")).alias(key))
+    drawn = placed.join(plan_, key).withColumn(shard, F.explode(draws_of(F.col(h), F.col(cuts), max_repeat)))
+    order = F.xxhash64(F.lit(seed), F.col(shard), F.col(h))
+    return drawn.repartition(shard).sortWithinPartitions(shard, order).select(*[F.col(f"`{c}`") for c in docs.columns])
