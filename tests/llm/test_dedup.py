@@ -140,7 +140,7 @@ def test_near_edge_cases(awkward, nameless, nothing):
 
 def test_chunks_cover_texts():
     texts = [prose(1, 500).encode(), b"", "é日本語 ß".encode() * 300, b"the " * 1000, b"x" * 5000]
-    _, owner, span = chunk_texts(texts)
+    *_, owner, span = chunk_texts(texts)
     for i, text in enumerate(texts):
         at = 0
         for s in span[owner == i].tolist():
@@ -190,14 +190,61 @@ def test_no_passage_is_lost_everywhere(spark):
             holders[d].append(i)
     texts = {i: t.encode() for i, t in docs}
     for r in repeated_passages(df).collect():
-        digests, _, span = chunk_texts([texts[r.doc_id]])
+        digests, *_, span = chunk_texts([texts[r.doc_id]])
         held = Counter()
         for d, s in zip(digests.tolist(), span.tolist()):
             if r.start <= s >> 32 < r.start + r.length:
                 held[min(holders[d])] += s >> 14 & 127
         assert held[r.first_doc_id] == max(held.values()) and sum(held.values()) - held[r.first_doc_id] < 16
     for i, text in texts.items():
-        _, _, span = chunk_texts([text])
+        *_, span = chunk_texts([text])
         for s in span.tolist():
             chunk = text[s >> 32:(s >> 32) + (s >> 21 & 0x7FF)].decode()
             assert any(chunk in t for t in cleaned.values())
+
+
+def test_texts_are_cut_by_themselves():
+    texts = [prose(i, 40 + i).encode() for i in range(20)] + [b"", "é日本".encode() * 40, b"x"]
+    together = [[c.tolist() for c in chunk_texts(texts)[:2]], chunk_texts(texts)[3].tolist()]
+    alone = [chunk_texts([t]) for t in texts]
+    assert together == [[[x for a in alone for x in a[i].tolist()] for i in (0, 1)], [x for a in alone for x in a[3].tolist()]]
+
+
+def passages_of(df):
+    return Counter(map(tuple, repeated_passages(df).select("doc_id", "start", "length", "words", "first_doc_id").collect()))
+
+
+def test_passages_in_any_order_and_of_shared_ids(spark):
+    passage = prose(1000, 70)
+    docs = [(s % 9, prose(s, 90 + s) + (" " + passage + " " + prose(s + 50, 40) if s % 2 else "")) for s in range(24)]  # doc_ids repeat
+    docs += [(None, prose(70, 50) + " " + passage), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for name in ("doc", "text_hash", "cuts"):
+        df = df.withColumn(name, F.lit("mine"))
+    want = passages_of(df.coalesce(1))
+    assert sum(want.values()) >= 12
+    for seed in (1, 2):
+        assert passages_of(df.orderBy(F.rand(seed)).repartition(3 + seed)) == want
+    cleaned = without_repeats(df)
+    assert cleaned.columns == df.columns and {r.cuts for r in cleaned.collect()} == {"mine"}
+    # what a row has for itself stays, whatever rows share its doc_id
+    for (doc_id, text), own in ((d, d[1].replace(passage, "")) for d in docs if d[1]):
+        assert any(r.doc_id == doc_id and set(own.split()) <= set(r.text.split()) for r in cleaned.collect()), text[:40]
+
+
+def test_repeats_of_fifty_words_by_brute_force(spark):
+    """Documents that share 58 words in a row with another are all found; those that share fewer than 35 are not."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: " ".join(f"{a}{b}" for a, b in zip(rng.integers(0, 10**6, n), rng.choice(list("aeiou"), n)))
+    shared = [fresh(n) for n in (58, 75, 120, 60, 34, 30, 20)]
+    docs = [(i, f"{fresh(int(rng.integers(20, 90)))} {shared[i % 7]} {fresh(int(rng.integers(0, 60)))}") for i in range(70)]
+    docs += [(100 + i, fresh(150)) for i in range(20)]
+    grams = defaultdict(lambda: defaultdict(set))
+    for n in (58, 35):
+        for i, text in docs:
+            words = text.split()
+            for k in range(len(words) - n + 1):
+                grams[n][" ".join(words[k:k + n])].add(i)
+    repeated = {n: {i for holders in grams[n].values() if len(holders) > 1 for i in holders} for n in grams}
+    got = {r.doc_id for r in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert repeated[58] <= got <= repeated[35] and len(repeated[58]) == 40
