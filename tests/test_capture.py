@@ -13,7 +13,7 @@ from tideline.operators.capture import (
     select_log_streams, status_changes, with_previous)
 from tideline.operators.config import desired_state_diff, remove_by_id, upsert_by_id
 from tideline.operators.metrics import (
-    as_metric_query, exact_percentile, invalid_queries, metric_expression, metric_stat, parse_metric_queries, slot)
+    as_metric_query, exact_percentile, invalid_queries, metric_expression, metric_stat, parse_metric_queries)
 from tideline.operators.routing import find_subscription, resolve_resource, route_requests
 
 
@@ -155,15 +155,6 @@ def test_exact_percentile(spark, fraction):
         assert got[name] == pytest.approx(np.percentile(values, fraction * 100), rel=1e-9, abs=1e-300), name
 
 
-def test_slots_never_fall(spark):
-    values = sorted(
-        [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308] + [s * 2.0**e * f for s in (1, -1) for e in range(-60, 61)
-         for f in (1.0, math.nextafter(1, 0), math.nextafter(1, 2), 1.37)])
-    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    slots = [r[0] for r in rows.orderBy("i").select(slot(F.col("v"))).collect()]
-    assert slots == sorted(slots) and None not in slots
-
-
 def points(spark, rows):
     frame = spark.createDataFrame(rows, "metric string, dimensions map<string,string>, unit string, t bigint, value double")
     return frame.select(F.lit("ns").alias("namespace"), "metric", "dimensions", "unit", F.timestamp_seconds("t").alias("ts"), "value")

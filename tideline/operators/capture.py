@@ -36,24 +36,20 @@ def with_previous(
     ``prior`` holds the last known ``keys + values`` of earlier input and comes
     before every row of its key.
     """
-    rows = df.withColumns({"_chunk": _chunk(F.col(ts), chunk_seconds), "_carried": F.lit(False)})
+    rows = df.withColumn("_chunk", _chunk(F.col(ts), chunk_seconds))
+    # one row per chunk, combined before the shuffle; only these meet in a per-key window
+    last = rows.groupBy(*keys, "_chunk").agg(F.max_by(F.struct(*values), F.struct(ts, *tiebreak)).alias("_last"))
     if prior is not None:
-        carried = prior.select(*keys, *values).withColumns(
-            {"_chunk": F.lit(_FIRST_CHUNK).cast("bigint"), "_carried": F.lit(True)})
-        rows = rows.unionByName(carried, allowMissingColumns=True)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts, *tiebreak)
-    rows = rows.select(
-        "*",
-        F.row_number().over(inside).alias("_n"),
-        F.lag(F.struct(*values)).over(inside).alias("previous"),
-        F.last(F.struct(*values)).over(
-            inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_last"))
+        last = last.unionByName(prior.select(
+            *keys, F.lit(_FIRST_CHUNK).cast("bigint").alias("_chunk"), F.struct(*values).alias("_last")))
     across = Window.partitionBy(*keys).orderBy("_chunk")
-    later = rows.where("_n > 1")
-    first = rows.where("_n = 1").withColumn("previous", F.lag("_last").over(across))
-    return (
-        later.unionByName(first).where("NOT _carried")
-        .drop("_chunk", "_carried", "_n", "_last"))
+    last = last.select(*keys, "_chunk", F.lag("_last").over(across).alias("_earlier"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts, *tiebreak)
+    rows = rows.withColumns({"_n": F.row_number().over(inside), "_before": F.lag(F.struct(*values)).over(inside)})
+    met = [F.col(f"_r.{k}").eqNullSafe(F.col(f"_l.{k}")) for k in (*keys, "_chunk")]
+    joined = rows.alias("_r").join(last.alias("_l"), met, "left")
+    previous = F.when(F.col("_n") > 1, F.col("_before")).otherwise(F.col("_earlier"))
+    return joined.select("_r.*", previous.alias("previous")).drop("_chunk", "_n", "_before")
 
 
 def latest_values(
@@ -193,7 +189,7 @@ def poll_delay(polls: DataFrame) -> DataFrame:
 
 
 def poll_history(polls: DataFrame, interval_seconds: int = 300, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Windows, delays and idle streaks of ``(source, tick, n_rows, failed)`` rows, in one ordering."""
+    """Windows and idle streaks of ``(source, tick, n_rows, failed)`` rows, with the delays of the schedule, in one ordering."""
     logged = polls.withColumn("had_data", (F.col("n_rows") > 0) & ~F.col("failed"))
     stepped = backoff_steps(logged, chunk_seconds=chunk_seconds)
     windows = _window_columns(stepped, interval_seconds, "tick", F.col("previous_tick")).drop("previous_tick")

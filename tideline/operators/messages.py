@@ -28,9 +28,12 @@ def _text(value: Column) -> Column:
 
 
 def _member_text(record: Column, path: str, value: Column) -> Column:
-    """As ``_text`` for a member read as ``value``; only what could be another type is looked at twice."""
+    """As ``_text`` for a member read as ``value``; only what could be another type is looked at twice.
+
+    Separate branches, as the sides of an ``or`` count as evaluated for every row: all records would be parsed once more.
+    """
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(record), path, "variant"))
-    return F.when(~value.rlike(NOT_TEXT) | (kind == "STRING"), value)
+    return F.when(value.isNull(), None).when(~value.rlike(NOT_TEXT), value).when(kind == "STRING", value)
 
 
 def is_test_event(body: Column) -> Column:
@@ -164,6 +167,8 @@ def ack_failures(results: DataFrame, *batch: str) -> DataFrame:
     ``results`` has ``Id, Code, Message, SenderFault, failed`` per entry; ``batch``
     names the columns of a request, which holds at most ten entries.
     """
+    if not batch:
+        raise ValueError("name the columns that make up a request")
     fields = F.array_compact(F.array(
         _field("Code", _quoted(F.col("Code"))), _field("Id", _quoted(F.col("Id"))),
         _field("Message", _quoted(F.col("Message"))),

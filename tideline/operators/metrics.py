@@ -5,21 +5,20 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# fixed values: statistics besides percentiles
-STATS = ["Sum", "Average", "Minimum", "Maximum", "SampleCount"]
-PERCENTILE = r"^p[0-9]{1,2}(\.[0-9]+)?\z|^p100\z"
+from ..functions.predicates import valid_query_name
+from .order_stats import (
+    BY_RANK, SPREAD, STATS, exact_percentile, in_range, intervals, rank_stat, rank_values, sketch, stat_spec, summary,  # noqa: F401
+    wanted_ranks)
 
 QUERY_JSON = (
     "array<struct<name:string,expression:string,metric:struct<"
     "metric:struct<dimensions:array<struct<name:string,value:string>>,metricName:string,namespace:string>,"
     "period:bigint,stat:string,unit:string>>>")
 
-# steps per power of two when values are sorted into slots
-SLOTS = 4096
-# ways a single slot's points are split before they are counted by value
-SPREAD = 8
+#: Seconds of a roll-up.
+ROLLUP_SECONDS = 3600
 
 
 def parse_metric_queries(df: DataFrame, column: str = "queries") -> DataFrame:
@@ -49,24 +48,37 @@ def invalid_queries(df: DataFrame, column: str = "queries") -> DataFrame:
     return df.where(~F.coalesce(kind.startswith("ARRAY"), F.lit(False)))
 
 
-def match_points(points: DataFrame, queries: DataFrame) -> DataFrame:
-    """Points joined to the queries they answer: ``(id, stat, ts, value, point_ts, spread)``.
+def evaluable(queries: DataFrame) -> DataFrame:
+    """The metric queries that ``metric_stat`` answers; a name that is none is reported by ``metric_failures`` only."""
+    return _metric_queries(queries).where(known_stat(F.col("stat")) & (F.col("period") > 0))
 
-    ``ts`` is the start of the point's period, ``point_ts`` its own time.
-    """
-    wanted = queries.where("expression IS NULL") if "expression" in queries.columns else queries
-    wanted = wanted.select(
+
+def _metric_queries(queries: DataFrame) -> DataFrame:
+    return queries.where("expression IS NULL") if "expression" in queries.columns else queries
+
+
+def _answering(rows: DataFrame, queries: DataFrame, start: Column) -> DataFrame:
+    """``rows`` of series joined to the queries they answer, with id, stat and ``ts``, the start of the period of ``start``."""
+    wanted = queries.select(
         F.col("id").alias("id"), F.col("namespace").alias("_ns"), F.col("metric").alias("_metric"),
         F.map_entries("dimensions").alias("_dims"), F.col("unit").alias("_unit"), "period", "stat")
     has_all = F.size(F.array_except("_dims", F.map_entries("dimensions"))) == 0
     in_dims = F.col("_dims").isNull() | (F.size("_dims") == 0) | has_all
     in_unit = F.col("_unit").isNull() | (F.col("unit") == F.col("_unit"))
-    start = F.floor(F.unix_seconds("ts") / F.col("period")).cast("bigint") * F.col("period")
+    begin = F.floor(F.unix_seconds(start) / F.col("period")).cast("bigint") * F.col("period")
+    joined = rows.join(wanted, (F.col("namespace") == F.col("_ns")) & (F.col("metric") == F.col("_metric")))
+    return joined.where(in_dims & in_unit).withColumn("ts", F.timestamp_seconds(begin))
+
+
+def match_points(points: DataFrame, queries: DataFrame) -> DataFrame:
+    """Points joined to the queries they answer: ``(id, stat, period, ts, value, point_ts, spread)``.
+
+    ``ts`` is the start of the point's period, ``point_ts`` its own time.
+    """
+    rows = points.select("namespace", "metric", "dimensions", "unit", F.col("ts").alias("point_ts"), "value")
     return (
-        points.select("namespace", "metric", "dimensions", "unit", "ts", "value").join(wanted, (F.col("namespace") == F.col("_ns")) & (F.col("metric") == F.col("_metric")))
-        .where(in_dims & in_unit & F.col("value").isNotNull())
-        .select("id", "stat", F.timestamp_seconds(start).alias("ts"), "value", F.col("ts").alias("point_ts"),
-                F.pmod(F.xxhash64("ts"), F.lit(SPREAD)).alias("spread")))
+        _answering(rows.where("value IS NOT NULL"), _metric_queries(queries), F.col("point_ts"))
+        .select("id", "stat", "period", "ts", "value", "point_ts", F.pmod(F.xxhash64("point_ts"), F.lit(SPREAD)).alias("spread")))
 
 
 def simple_stat(stat: Column, value: str = "value") -> Column:
@@ -79,111 +91,115 @@ def simple_stat(stat: Column, value: str = "value") -> Column:
         .when(stat == "SampleCount", F.count(value).cast("double")))
 
 
-def metric_stat(points: DataFrame, queries: DataFrame) -> DataFrame:
+def metric_rollups(points: DataFrame, seconds: int = ROLLUP_SECONDS) -> DataFrame:
+    """One row per series and ``seconds``: namespace, metric, dimensions, unit, ts, n, total, least, most, numbers,
+    most_number, and a quantile sketch that merges with others.
+
+    Written once, these rows answer the first pass of any query whose period is a multiple of ``seconds``.
+    """
+    start = F.timestamp_seconds(F.floor(F.unix_seconds("ts") / seconds).cast("bigint") * seconds)
+    rows = points.where("value IS NOT NULL").withColumns({"_dims": F.array_sort(F.map_entries("dimensions")), "ts": start})
+    grouped = rows.groupBy("namespace", "metric", "_dims", "unit", "ts").agg(*summary(), sketch(F.col("value")).alias("sketch"))
+    return grouped.withColumn("dimensions", F.map_from_entries("_dims")).drop("_dims")
+
+
+def _groups_of_points(points: DataFrame, queries: DataFrame) -> DataFrame:
+    """(id, ts, stat, spec) with the aggregates of the points: one scan for all kinds of statistics."""
+    matched = match_points(points, queries).withColumn("spec", stat_spec(F.col("stat")))
+    low, high, value = F.col("spec")["low"], F.col("spec")["high"], F.col("value")
+    held = in_range(value, low, high)
+    by_value = ~F.col("spec")["share"]
+    clamped = F.greatest(F.least(value, F.coalesce(high, value)), F.coalesce(low, value))
+    ranked = F.col("spec")["kind"].isin(BY_RANK) & F.col("spec")["share"]
+    return matched.groupBy("id", "ts", "stat", "spec").agg(
+        *summary(), F.count(F.when(by_value & held, 1)).alias("n_in"), F.sum(F.when(by_value & held, value)).alias("total_in"),
+        F.sum(F.when(by_value, clamped)).alias("total_clamped"), sketch(F.when(ranked, value)).alias("sketch"))
+
+
+def _groups_of_rollups(rollups: DataFrame, queries: DataFrame) -> DataFrame:
+    """The same from roll-ups, for statistics that don't ask for single values."""
+    rows = rollups.withColumnRenamed("ts", "_hour")
+    matched = _answering(rows, queries, F.col("_hour")).withColumn("spec", stat_spec(F.col("stat")))
+    none = F.lit(None).cast("double")
+    return matched.groupBy("id", "ts", "stat", "spec").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.sum("numbers").alias("numbers"), F.max("most_number").alias("most_number"), F.lit(0).cast("bigint").alias("n_in"),
+        none.alias("total_in"), none.alias("total_clamped"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def metric_stat(
+    points: DataFrame, queries: DataFrame, rollups: DataFrame | None = None, rollup_seconds: int = ROLLUP_SECONDS,
+) -> DataFrame:
     """Evaluates metric queries: ``(id, ts, value)``, one row per query and period with data.
 
     ``points`` has ``(namespace, metric, dimensions, unit, ts, value)``; ``queries``
     has the columns ``parse_metric_queries`` gives. Periods start at the epoch.
-    Queries that can't be evaluated give no rows here; ``metric_failures`` lists them.
+    Queries of an unknown statistic or period give no rows here; ``metric_failures`` lists them.
+
+    Statistics are the simple ones, percentiles (``p95``), trimmed means (``tm90``, ``TM(5%:95%)``, ``IQM``), counts
+    (``tc``), sums (``ts``) and winsorised means (``wm``), each by share of the points or by value (``TM(10:200)``, above
+    the lower and at most the upper bound), and the percentage of points in a range (``PR(:300)``). Points are scanned
+    once, statistics by rank go over them a second time (see ``order_stats``). A trimmed statistic that no point is left
+    for has no row. With ``rollups`` (``metric_rollups`` of the same points), the first pass of queries whose period is a
+    multiple of ``rollup_seconds`` reads those.
     """
-    matched = match_points(points, queries)
-    simple = (
-        matched.where(F.col("stat").isin(STATS)).groupBy("id", "stat", "ts")
-        .agg(simple_stat(F.col("stat")).alias("value")).drop("stat"))
-    return simple.unionByName(exact_percentile(_ranked(matched), ["id", "ts"]))
+    queries = evaluable(queries)
+    if rollups is None:
+        groups = _groups_of_points(points, queries)
+    else:
+        spec = stat_spec(F.col("stat"))
+        whole = (F.col("period") % rollup_seconds == 0) & (spec["share"] | spec["kind"].isin(STATS))
+        groups = _groups_of_points(points, queries.where(~whole)).unionByName(_groups_of_rollups(rollups, queries.where(whole)))
+    kind, n, n_in = F.col("spec")["kind"], F.col("n"), F.col("n_in")
+    ranked = kind.isin(BY_RANK) & F.col("spec")["share"]
+    trimmed_count = F.col("spec")["share"] & (kind == "tc")
+    groups = wanted_ranks(groups)
+    value = (
+        F.when(kind == "Sum", F.col("total")).when(kind == "Average", F.col("total") / n)
+        .when(kind == "Minimum", F.col("least")).when(kind == "Maximum", F.col("most"))
+        .when(kind == "SampleCount", n.cast("double")).when(kind == "pr", n_in * 100.0 / n)
+        .when(trimmed_count, F.greatest(F.col("end") - F.col("cut"), F.lit(0)).cast("double"))
+        .when(kind == "tc", n_in.cast("double")).when(kind == "wm", F.col("total_clamped") / n)
+        .when(kind == "ts", F.col("total_in")).when((kind == "tm") & (n_in > 0), F.col("total_in") / n_in))
+    simple = groups.where(~ranked).select("id", "ts", value.alias("value")).where("value IS NOT NULL")
+
+    keys = ["id", "ts"]
+    by_rank = groups.where(ranked).drop("n_in", "total_in", "total_clamped")
+    spec = stat_spec(F.col("stat"))
+    rows = match_points(points, queries.where(spec["share"] & spec["kind"].isin(BY_RANK))).select(*keys, "value", "spread")
+    found = rank_values(rows.withColumn("n", F.lit(1).cast("bigint")), intervals(by_rank, keys), keys)
+    return simple.unionByName(rank_stat(by_rank, found, keys))
 
 
 def known_stat(stat: Column) -> Column:
     """Whether ``metric_stat`` evaluates the statistic."""
-    return F.coalesce(stat.isin(STATS) | stat.rlike(PERCENTILE), F.lit(False))
+    return stat_spec(stat).isNotNull()
+
+
+def _reason(expression: Column) -> Column:
+    """Why a query can't be evaluated, null if it can."""
+    stat, period = F.coalesce("stat", F.lit("null")), F.col("period")
+    reason = lambda code, value: F.struct(F.lit(code).alias("Code"), F.coalesce(value, F.lit("null")).alias("Value"))
+    return (
+        F.when(~F.coalesce(valid_query_name(F.col("id")), F.lit(False)), reason("InvalidName", F.col("id")))
+        .when(expression, None)
+        .when(~known_stat(stat), reason("UnknownStatistic", stat))
+        .when(~F.coalesce(period > 0, F.lit(False)), reason("InvalidPeriod", period.cast("string"))))
 
 
 def metric_failures(queries: DataFrame) -> DataFrame:
-    """Result rows, as ``metric_results`` gives them, of the queries that ``metric_stat`` can't evaluate.
+    """Result rows, as ``metric_results`` gives them, of the queries that are not as they should be.
 
-    These are queries of an unknown statistic (null too), or of a period that is null or below one.
+    These are queries whose name is no name (expressions too), of an unknown statistic (null too), or of a period that is
+    null or below one.
     """
-    wanted = queries.where("expression IS NULL") if "expression" in queries.columns else queries
-    stat = F.coalesce("stat", F.lit("null"))
-    reason = F.when(~known_stat(F.col("stat")), F.struct(F.lit("UnknownStatistic").alias("Code"), stat.alias("Value"))).when(
-        ~F.coalesce(F.col("period") > 0, F.lit(False)),
-        F.struct(F.lit("InvalidPeriod").alias("Code"), F.coalesce(F.col("period").cast("string"), F.lit("null")).alias("Value")))
-    return wanted.withColumn("_reason", reason).where("_reason IS NOT NULL").select(
+    expression = F.col("expression").isNotNull() if "expression" in queries.columns else F.lit(False)
+    return queries.withColumn("_reason", _reason(expression)).where("_reason IS NOT NULL").select(
         F.col("id").alias("Id"), F.col("id").alias("Label"), F.array("_reason").alias("Messages"),
         F.lit("InternalError").alias("StatusCode"), F.array().cast("array<timestamp>").alias("Timestamps"),
         F.array().cast("array<double>").alias("Values"), F.lit(None).cast("bigint").alias("span"))
 
 
-def _ranked(matched: DataFrame) -> DataFrame:
-    fraction = F.expr("substring(stat, 2)").try_cast("double") / 100
-    return matched.where(F.col("stat").rlike(PERCENTILE)).select(
-        "id", "ts", "value", "spread", fraction.alias("fraction"), F.lit(1).cast("bigint").alias("n"))
-
-
-#: NaN counts as larger than any number.
-LAST_SLOT = 1 << 62
-
-
-def slot(value: Column) -> Column:
-    """A whole number that never falls as ``value`` rises; about 0.02 % of the value wide."""
-    size = F.abs(value)
-    exponent = F.least(F.lit(1023.0), F.floor(F.log2(size)).cast("double"))
-    fraction = size / F.pow(F.lit(2.0), exponent) - 1
-    step = F.floor((exponent + 1100) * SLOTS + F.least(fraction * SLOTS, F.lit(2.0 * SLOTS))).cast("bigint")
-    return F.when(F.isnan(value), LAST_SLOT).when(value == 0, 0).when(value < 0, -step).otherwise(step)
-
-
-def exact_percentile(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Linear-interpolated percentile ``fraction`` of ``value`` per key, exact at any group size.
-
-    ``df`` has ``keys, value, n, fraction, spread``: ``n`` rows of that value, and
-    any small whole number that splits equal values.
-
-    Spark's ``percentile`` holds every distinct value of a group in one buffer.
-    Here a first pass counts values per slot (combined before the shuffle, a few
-    thousand rows per group); the running count shows which one or two slots hold
-    the wanted ranks. Only their values are counted one by one and ordered. The
-    join also meets on ``spread``, so that a slot with very many points is split
-    and the counting that follows combines before its own shuffle.
-    """
-    slotted = df.withColumn("_slot", slot(F.col("value")))
-    counts = slotted.groupBy(*keys, "_slot").agg(
-        F.sum("n").alias("_n"), F.first("fraction").alias("fraction"))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(group)})
-    # ranks count from zero
-    rank = F.col("fraction") * (F.col("_total") - 1)
-    counts = counts.withColumns({"_low": F.floor(rank), "_high": F.ceil(rank), "_rank": rank})
-    before = F.col("_upto") - F.col("_n")
-    holds = ((before <= F.col("_low")) & (F.col("_low") < F.col("_upto"))) | (
-        (before <= F.col("_high")) & (F.col("_high") < F.col("_upto")))
-    wanted = counts.where(holds).select(
-        *keys, "_slot", before.alias("_before"), "_low", "_high", "_rank",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))).alias("spread"))
-
-    values = (
-        slotted.drop("fraction").withColumn("spread", F.pmod("spread", F.lit(SPREAD)).cast("bigint"))
-        .join(wanted, [*keys, "_slot", "spread"])
-        .groupBy(*keys, "_slot", "_before", "_low", "_high", "_rank", "value").agg(F.sum("n").alias("_n")))
-    running = (
-        Window.partitionBy(*keys, "_slot").orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    values = values.withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
-    start = F.col("_upto") - F.col("_n")
-
-    def at(rank_column: str) -> Column:
-        hit = (start <= F.col(rank_column)) & (F.col(rank_column) < F.col("_upto"))
-        return F.max(F.when(hit, F.col("value")))
-
-    found = values.groupBy(*keys).agg(
-        at("_low").alias("_a"), at("_high").alias("_b"),
-        F.first("_rank").alias("_rank"), F.first("_low").alias("_low"))
-    weight = F.col("_rank") - F.col("_low")
-    between = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * weight)
-    return found.select(*keys, between.alias("value"))
-
-
 def metric_expression(values: DataFrame, id: str, expression: str, inputs: list[str]) -> DataFrame:
     """A series computed from other series by a Spark SQL expression over their ids.
 

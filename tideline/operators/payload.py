@@ -37,7 +37,7 @@ class _Contract:
         self.open = OPEN.get(kind, set())
 
     def members(self, value: Column, schema: T.StructType, path: str) -> list[Column]:
-        """Errors of an object, given as a string-to-JSON-text map."""
+        """Errors of an object, given as a map of its members."""
         prefix = f"{path}." if path else ""
         names = [field.name for field in schema]
         required = [n for n in names if prefix + n not in self.optional]
@@ -51,37 +51,35 @@ class _Contract:
             checks.extend(self.value(value[field.name], field.dataType, prefix + field.name))
         return checks
 
-    def value(self, text: Column, data_type: T.DataType, path: str) -> list[Column]:
-        """Errors of one field, given as JSON text; null text means the field is absent."""
-        variant = F.try_parse_json(text)
+    def value(self, variant: Column, data_type: T.DataType, path: str) -> list[Column]:
+        """Errors of one field; null means the field is absent, JSON's null is a value of its own."""
         accepted = _kinds(data_type) + ("|VOID" if path in self.nullable else "")
         fits = F.schema_of_variant(variant).rlike(rf"^({accepted})\z")
-        checks = [F.when(text.isNotNull() & ~F.coalesce(fits, F.lit(False)),
+        checks = [F.when(variant.isNotNull() & ~F.coalesce(fits, F.lit(False)),
                          F.array(F.lit(f"type {path}")))]
         if path in self.enums:
             plain = F.try_variant_get(variant, "$", "string")
             checks.append(F.when(~plain.isin(self.enums[path]), F.array(F.lit(f"value {path}"))))
         if isinstance(data_type, T.StructType):
-            checks.append(self._object(text, data_type, path))
+            checks.append(self._object(variant, data_type, path))
         elif isinstance(data_type, T.MapType) and isinstance(data_type.valueType, T.StructType):
-            entries = F.map_values(_raw_members(text))
+            entries = F.map_values(_members(variant))
             checks.append(self._each(entries, data_type.valueType, path))
         elif isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.StructType):
-            checks.append(self._each(_raw_elements(text), data_type.elementType, path))
+            checks.append(self._each(_elements(variant), data_type.elementType, path))
         elif isinstance(data_type, T.ArrayType):
             pattern = rf"^({_kinds(data_type.elementType)})\z"
-            wrong = F.exists(_raw_elements(text), lambda e: ~F.coalesce(
-                F.schema_of_variant(F.try_parse_json(e)).rlike(pattern), F.lit(False)))
+            wrong = F.exists(_elements(variant), lambda e: ~F.coalesce(F.schema_of_variant(e).rlike(pattern), F.lit(False)))
             checks.append(F.when(wrong, F.array(F.lit(f"type {path}[]"))))
         return checks
 
-    def _object(self, text: Column, schema: T.StructType, path: str) -> Column:
-        members = _raw_members(text)
+    def _object(self, variant: Column, schema: T.StructType, path: str) -> Column:
+        members = _members(variant)
         return F.when(members.isNotNull(), _joined(self.members(members, schema, path)))
 
-    def _each(self, texts: Column, schema: T.StructType, path: str) -> Column:
+    def _each(self, variants: Column, schema: T.StructType, path: str) -> Column:
         return F.flatten(F.transform(
-            texts, lambda e: F.coalesce(self._object(e, schema, path), F.array(F.lit(f"type {path}[]")))))
+            variants, lambda e: F.coalesce(self._object(e, schema, path), F.array(F.lit(f"type {path}[]")))))
 
 
 def _none() -> Column:
@@ -92,24 +90,22 @@ def _joined(checks: list[Column]) -> Column:
     return F.concat(*[F.coalesce(c, _none()) for c in checks])
 
 
-def _raw_members(text: Column) -> Column:
-    """An object's members as JSON texts; null when ``text`` is not an object."""
-    members = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
-    return F.transform_values(members, lambda _, v: F.to_json(v))
+def _members(variant: Column) -> Column:
+    """An object's members; null when it is no object."""
+    return F.try_variant_get(variant, "$", "map<string,variant>")
 
 
-def _raw_elements(text: Column) -> Column:
-    elements = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
-    return F.transform(elements, lambda v: F.to_json(v))
+def _elements(variant: Column) -> Column:
+    return F.try_variant_get(variant, "$", "array<variant>")
 
 
 def validate_payload(df: DataFrame, kind: str, column: str = "data") -> DataFrame:
     """Adds ``errors``: sorted texts such as ``missing Message``; empty when the data conforms.
 
     Checked at every level: required fields, fields that are not declared,
-    JSON types and enumerated values.
+    JSON types and enumerated values. The text is parsed once.
     """
-    members = _raw_members(F.col(column))
+    members = _members(F.try_parse_json(F.col(column)))
     found = F.sort_array(F.array_distinct(_joined(_Contract(kind).members(F.col("_m"), PAYLOADS[kind], ""))))
     return (
         df.withColumn("_m", members)

@@ -10,9 +10,11 @@ from ..operators.capture import (
 from ..operators.catalog import failure_report, source_catalog
 from ..operators.config import desired_state_diff, event_type_registry, remove_by_id, upsert_by_id
 from ..operators.envelope import events_from_change_records, events_from_logs, events_from_stream_records
+from ..operators.metric_math import graph_failures, metric_graph
 from ..operators.metrics import (
-    as_metric_query, metric_expression, metric_failures, metric_results, metric_stat, parse_metric_queries)
+    as_metric_query, metric_expression, metric_failures, metric_results, metric_rollups, metric_stat, parse_metric_queries)
 from ..operators.routing import find_subscription, registry, resolve_resource, route_requests
+from ..session import new_dir
 from ..sources.landed import union_event_streams, union_shards
 from . import shapes
 from .demo_events import LOGS, micros
@@ -39,7 +41,7 @@ def _(spark, sf):
         "log_group", "log_stream", F.col("Timestamp").alias("stamp"), F.col("Message").alias("message"))
 
 
-@demo("log_capture", f"""
+LOG_CAPTURE = f"""
     WITH {LOGS},
     ticks AS (SELECT 'shop-' || (user_id % 4) AS log_group, ts FROM events WHERE event_type = 'purchase'),
     windows AS (
@@ -48,7 +50,10 @@ def _(spark, sf):
                epoch_us(ts) // 1000000 * 1000 AS end_ms
         FROM ticks WINDOW w AS (PARTITION BY log_group ORDER BY ts))
     SELECT logs.log_group, log_stream, stamp, start_ms, end_ms, ingested > end_ms AS late
-    FROM logs JOIN windows ON logs.log_group = windows.log_group AND stamp >= start_ms AND stamp < end_ms""")
+    FROM logs JOIN windows ON logs.log_group = windows.log_group AND stamp >= start_ms AND stamp < end_ms"""
+
+
+@demo("log_capture", LOG_CAPTURE)
 def _(spark, sf):
     ticks = shapes.events(spark, sf).where("event_type = 'purchase'").select(
         shapes.numbered("shop-", F.col("user_id") % 4).alias("log_group"), F.col("ts").alias("tick"))
@@ -252,20 +257,114 @@ def _(spark, sf):
         "id", F.unix_seconds("ts").alias("start"), F.round("value", 4).alias("value"))
 
 
+#: id, namespace, metric, period, statistic; kind, whether its bounds are shares of the points, bounds (whole numbers)
+ORDER_QUERIES = [
+    ("tm_short", "Shop", "click", 86_400, "tm90", "tm", True, 0, 90),
+    ("tm_share", "Sales", "Price", 90 * 86_400, "TM(5%:95%)", "tm", True, 5, 95),
+    ("iqm", "Shop", "view", 7 * 86_400, "IQM", "tm", True, 25, 75),
+    ("tm_value", "Shop", "click", 86_400, "TM(10:60)", "tm", False, 10, 60),
+    ("wm_short", "Sales", "Price", 30 * 86_400, "wm98", "wm", True, 0, 98),
+    ("wm_share", "Shop", "purchase", 7 * 86_400, "WM(10%:90%)", "wm", True, 10, 90),
+    ("wm_value", "Shop", "view", 86_400, "WM(10:60)", "wm", False, 10, 60),
+    ("tc_short", "Shop", "click", 86_400, "tc75", "tc", True, 0, 75),
+    ("tc_value", "Sales", "Price", 365 * 86_400, "TC(20000:40000)", "tc", False, 20_000, 40_000),
+    ("ts_share", "Sales", "Price", 60 * 86_400, "TS(80%:)", "ts", True, 80, 100),
+    ("ts_value", "Shop", "signup", 86_400, "TS(:50)", "ts", False, None, 50),
+    ("pr_upto", "Shop", "click", 86_400, "PR(:30)", "pr", False, None, 30),
+    ("pr_range", "Sales", "Price", 90 * 86_400, "PR(10000:50000)", "pr", False, 10_000, 50_000),
+]
+
+
+#: Added before results are rounded: means of prices end in a five at the next digit more often than not by chance.
+OFF_TIES = 0.00001234567
+
+
+def _order_sql(id, ns, metric, period, _stat, kind, share, low, high, value=None, digits=None) -> str:
+    digits = digits or 4
+    column, ts, source = ("value", "ts", "events") if ns == "Shop" else ("l_extendedprice", "l_shipdate", "lineitem")
+    where = f"WHERE event_type = '{metric}'" if ns == "Shop" else ""
+    if share:
+        cut, end = f"(n * {low} // 100)", f"(n - n * {100 - high} // 100)"
+        kept = f"r >= {cut} AND r < {end}"
+        clamped = f"(sum(value) FILTER ({kept}) + {cut} * min(value) FILTER ({kept}) + (n - {end}) * max(value) FILTER ({kept})) / n"
+    else:
+        kept = " AND ".join([f"value > {low}"] * (low is not None) + [f"value <= {high}"] * (high is not None))
+        clamped = f"avg(least(greatest(value, {low}), {high}))"
+    result = {
+        "tm": f"avg(value) FILTER ({kept})", "ts": f"sum(value) FILTER ({kept})", "tc": f"count(*) FILTER ({kept})::DOUBLE",
+        "wm": clamped, "pr": f"count(*) FILTER ({kept}) * 100.0 / n", "p": f"quantile_cont(value, {high} / 100.0)"}[kind]
+    return f"""
+        SELECT * FROM (
+            SELECT '{id}' AS id, start, round({result} + {OFF_TIES}, {digits}) AS value FROM (
+                SELECT start, value, row_number() OVER (PARTITION BY start ORDER BY value) - 1 AS r, count(*) OVER (PARTITION BY start) AS n
+                FROM (SELECT epoch_us({ts}) // 1000000 // {period} * {period} AS start, {value or column} AS value FROM {source} {where}))
+            GROUP BY start, n) WHERE value IS NOT NULL"""
+
+
+def _order_queries(spark, rows) -> DataFrame:
+    return union_shards(*[as_metric_query(spark, id, ns, metric, period, stat) for id, ns, metric, period, stat, *_ in rows])
+
+
+def rounded(digits: int = 4):
+    return F.round(F.col("value") + OFF_TIES, digits).alias("value")
+
+
+@demo("metric_order_stats", " UNION ALL ".join(_order_sql(*q) for q in ORDER_QUERIES))
+def _(spark, sf):
+    """Trimmed and winsorised means, trimmed sums and counts, percentile ranks."""
+    points = shapes.event_points(spark, sf).unionByName(shapes.price_points(spark, sf))
+    return metric_stat(points, _order_queries(spark, ORDER_QUERIES)).select("id", F.unix_seconds("ts").alias("start"), rounded())
+
+
+ROLLED = [q for q in QUERIES if q[4] != "Sum" or q[3] % 3600 == 0]
+ROLLED_ORDER = [q for q in ORDER_QUERIES if q[6]]
+
+
+@demo("metric_rollups", " UNION ALL ".join([*(_stat_sql(*q) for q in ROLLED), *(_order_sql(*q) for q in ROLLED_ORDER)]))
+def _(spark, sf):
+    """Hourly roll-ups, written once, answer the first pass; only statistics by rank go back to the points."""
+    points = shapes.event_points(spark, sf).unionByName(shapes.price_points(spark, sf))
+    path = new_dir(spark, "rollups")
+    metric_rollups(points).write.parquet(path)
+    queries = union_shards(
+        *[as_metric_query(spark, id, ns, metric, period, stat, dims) for id, ns, metric, period, stat, dims in ROLLED],
+        _order_queries(spark, ROLLED_ORDER))
+    plain = F.col("id").isin([q[0] for q in ROLLED])
+    return metric_stat(points, queries, spark.read.parquet(path)).select(
+        "id", F.unix_seconds("ts").alias("start"), F.when(plain, F.round("value", 4)).otherwise(rounded()).alias("value"))
+
+
+EPOCH_QUERIES = [
+    ("late", "Shop", "click", 30 * 86_400, "p99", "p", True, 0, 99), ("middle", "Shop", "view", 7 * 86_400, "p50", "p", True, 0, 50),
+    ("mean", "Shop", "click", 30 * 86_400, "TM(10%:90%)", "tm", True, 10, 90)]
+
+
+@demo("metric_large_offset", " UNION ALL ".join(_order_sql(*q, value="epoch_us(ts) / 1000000.0", digits=2) for q in EPOCH_QUERIES))
+def _(spark, sf):
+    """Values of a large offset and a small spread: the times of the events in seconds."""
+    points = shapes.event_points(spark, sf).withColumn("value", F.unix_micros("ts") / 1_000_000.0)
+    return metric_stat(points, _order_queries(spark, EPOCH_QUERIES)).select(
+        "id", F.unix_seconds("ts").alias("start"), rounded(2))
+
+
 @demo("metric_failures", """
     WITH queries AS (
-        SELECT 'q' || c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN c_mktsegment WHEN 1 THEN 'Sum' WHEN 2 THEN 'p99.9'
-               WHEN 3 THEN 'tm90' END AS stat, c_nationkey * 60 AS period FROM customer)
+        SELECT CASE WHEN c_custkey % 7 = 0 THEN 'Q' ELSE 'q' END || c_custkey AS id,
+               CASE c_custkey % 5 WHEN 0 THEN c_mktsegment WHEN 1 THEN 'Sum' WHEN 2 THEN 'p99.9'
+               WHEN 3 THEN CASE WHEN c_custkey % 2 = 0 THEN 'tm90' ELSE 'TM(90%:10%)' END END AS stat, c_nationkey * 60 AS period
+        FROM customer),
+    checked AS (SELECT *, substr(id, 1, 1) = 'q' AS named, coalesce(stat IN ('Sum', 'p99.9', 'tm90'), false) AS known FROM queries)
     SELECT id, 'InternalError' AS status,
-           CASE WHEN stat IN ('Sum', 'p99.9') THEN 'InvalidPeriod' ELSE 'UnknownStatistic' END AS code,
-           CASE WHEN stat IN ('Sum', 'p99.9') THEN period::VARCHAR ELSE coalesce(stat, 'null') END AS value, 0::BIGINT AS n
-    FROM queries WHERE stat IS NULL OR stat NOT IN ('Sum', 'p99.9') OR period < 1""")
+           CASE WHEN NOT named THEN 'InvalidName' WHEN known THEN 'InvalidPeriod' ELSE 'UnknownStatistic' END AS code,
+           CASE WHEN NOT named THEN id WHEN known THEN period::VARCHAR ELSE coalesce(stat, 'null') END AS value, 0::BIGINT AS n
+    FROM checked WHERE NOT named OR NOT known OR period < 1""")
 def _(spark, sf):
-    kind = F.col("c_custkey") % 5
-    stat = F.when(kind == 0, F.col("c_mktsegment")).when(kind == 1, "Sum").when(kind == 2, "p99.9").when(kind == 3, "tm90")
+    k = F.col("c_custkey")
+    trimmed = F.when(k % 2 == 0, "tm90").otherwise("TM(90%:10%)")
+    stat = F.when(k % 5 == 0, F.col("c_mktsegment")).when(k % 5 == 1, "Sum").when(k % 5 == 2, "p99.9").when(k % 5 == 3, trimmed)
+    name = F.when(k % 7 == 0, shapes.numbered("Q", k)).otherwise(shapes.numbered("q", k))
     queries = shapes.table(spark, sf, "customer").select(
-        shapes.numbered("q", F.col("c_custkey")).alias("id"), stat.alias("stat"),
-        (F.col("c_nationkey") * 60).cast("bigint").alias("period"))
+        name.alias("id"), stat.alias("stat"), (F.col("c_nationkey") * 60).cast("bigint").alias("period"))
     return metric_failures(queries).select(
         F.col("Id").alias("id"), F.col("StatusCode").alias("status"), F.col("Messages")[0]["Code"].alias("code"),
         F.col("Messages")[0]["Value"].alias("value"), F.size("Values").cast("bigint").alias("n"))
@@ -294,6 +393,61 @@ def _(spark, sf):
     return share.select("id", F.unix_seconds("ts").alias("start"), F.round("value", 4).alias("value"))
 
 
+GRAPH = [
+    ("total", "SUM([c, v])"), ("share", "IF(total > 0, c / total * 100, 0)"), ("steady", "FILL(share, 0)"),
+    ("jump", "DIFF(steady)"), ("score", "(steady - AVG(steady)) / STDDEV(steady)"), ("rate", "RATE(c) * 3600"),
+    ("busy", "IF(c > AVG(c) AND v > 0 || total >= 500, 1)"), ("repeat", "FILL(c, REPEAT)"), ("line", "FILL(v, LINEAR)"),
+    ("running", "RUNNING_SUM(total) / 1000"), ("power", "-ABS(steady - 50) ^ 2 / 100"), ("hours", "PERIOD(c) / 3600"),
+    ("self", "self + 1"), ("left", "right * 2"), ("right", "left - c"), ("after", "right + 1"), ("wrong", "c +"), ("gone", "nothing * 2")]
+
+
+def _graph_queries(spark) -> DataFrame:
+    rows = [(id, text, None) for id, text in GRAPH] + [("c", None, 3600), ("v", None, 3600)]
+    return spark.createDataFrame(rows, "id string, expression string, period bigint")
+
+
+@demo("metric_graph", f"""
+    WITH {SERIES},
+    hours AS (SELECT unnest(generate_series(min(start), max(start), 3600)) AS start FROM series),
+    wide AS (
+        SELECT hours.start, max(value) FILTER (id = 'c') AS c, max(value) FILTER (id = 'v') AS v
+        FROM hours LEFT JOIN series ON hours.start = series.start GROUP BY 1),
+    one AS (
+        SELECT *, CASE WHEN c IS NOT NULL OR v IS NOT NULL THEN coalesce(c, 0) + coalesce(v, 0) END AS total,
+               avg(c) OVER () AS mean_c, last_value(CASE WHEN c IS NOT NULL THEN start END IGNORE NULLS) OVER w AS c_at,
+               last_value(c IGNORE NULLS) OVER w AS c_before, last_value(v IGNORE NULLS) OVER w AS v_before,
+               last_value(CASE WHEN v IS NOT NULL THEN start END IGNORE NULLS) OVER w AS v_at,
+               first_value(v IGNORE NULLS) OVER x AS v_after,
+               first_value(CASE WHEN v IS NOT NULL THEN start END IGNORE NULLS) OVER x AS v_next
+        FROM wide WINDOW w AS (ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                         x AS (ORDER BY start ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+    two AS (SELECT *, CASE WHEN total > 0 THEN c / total * 100 WHEN total <= 0 THEN 0 END AS share FROM one),
+    three AS (SELECT *, coalesce(share, 0) AS steady FROM two),
+    results AS (
+        SELECT 'total' AS id, start, total AS value FROM three UNION ALL SELECT 'share', start, share FROM three
+        UNION ALL SELECT 'steady', start, steady FROM three
+        UNION ALL SELECT 'jump', start, steady - lag(steady) OVER (ORDER BY start) FROM three
+        UNION ALL SELECT 'score', start, (steady - avg(steady) OVER ()) / stddev_pop(steady) OVER () FROM three
+        UNION ALL SELECT 'rate', start, (c - c_before) / (start - c_at) * 3600 FROM three
+        UNION ALL SELECT 'busy', start, CASE WHEN (c > mean_c AND v > 0) OR total >= 500 THEN 1 END FROM three
+        UNION ALL SELECT 'repeat', start, coalesce(c, c_before) FROM three
+        UNION ALL SELECT 'line', start, coalesce(v, v_before + (v_after - v_before) * (start - v_at) / (v_next - v_at)) FROM three
+        UNION ALL SELECT 'running', start, CASE WHEN total IS NOT NULL THEN sum(total) OVER (ORDER BY start) / 1000 END FROM three
+        UNION ALL SELECT 'power', start, 0 - power(abs(steady - 50), 2) / 100 FROM three
+        UNION ALL SELECT 'hours', start, 1 FROM three)
+    SELECT id, start, round(value + {OFF_TIES}, 4) + 0.0 AS value, NULL AS code FROM results WHERE value IS NOT NULL
+    UNION ALL VALUES ('self', NULL, NULL, 'CyclicExpression'), ('left', NULL, NULL, 'CyclicExpression'), ('right', NULL, NULL, 'CyclicExpression'),
+                     ('after', NULL, NULL, 'UnknownSeries'), ('wrong', NULL, NULL, 'InvalidExpression'), ('gone', NULL, NULL, 'UnknownSeries')""")
+def _(spark, sf):
+    """Expressions over expressions, and a row for each that can't be evaluated."""
+    queries = _graph_queries(spark)
+    series = metric_graph(_two_series(spark, sf), queries, 3600).select(
+        "id", F.unix_seconds("ts").alias("start"), (rounded() + 0.0).alias("value"), F.lit(None).cast("string").alias("code"))
+    return series.unionByName(graph_failures(queries).select(
+        F.col("Id").alias("id"), F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("double").alias("value"),
+        F.col("Messages")[0]["Code"].alias("code")))
+
+
 @demo("metric_results", f"""
     WITH {SERIES}
     SELECT id, start // 86400 AS span, 'Complete' AS status, count(*) AS n,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.attributes import event_type
@@ -15,6 +18,7 @@ from ..operators.messages import ack_batches, ack_failures, objects_from_message
 from ..operators.metrics import as_metric_query, metric_results, metric_stat, perf_points
 from ..operators.payload import typed_payload, validate_payload
 from ..operators.routing import route_notifications
+from ..operators.table_processors import register_table_processor
 from ..sinks.events import dead_letters
 from . import shapes
 from .registry import demo
@@ -66,6 +70,37 @@ def _(spark, sf):
     return _message_columns(processor("default")(shapes.queue_messages(spark, sf), shapes.QUEUE_ARN))
 
 
+def carts(batch: pa.RecordBatch) -> pa.Table:
+    """A conversion as a user writes it: two events for a message of an even id, none for one that ends in 5; ids ending in 9 fail."""
+    ids = batch.column("MessageId")
+    if pc.any(pc.ends_with(ids, "9")).as_py():
+        raise ValueError("a cart without number")
+    even = pc.is_in(pc.utf8_slice_codeunits(ids, -1), pa.array(list("02468")))
+    times = pc.if_else(even, 2, pc.if_else(pc.ends_with(ids, "5"), 0, 1)).to_numpy(zero_copy_only=False)
+    rows = pa.array(np.repeat(np.arange(len(ids)), times))
+    copy = pa.array(np.concatenate([np.arange(t) for t in times] or [np.empty(0, np.int64)]).astype(np.int64))
+    return pa.table({
+        "id": pc.binary_join_element_wise(ids.take(rows), copy.cast(pa.string()), "/"), "type": pa.repeat("shop.cart", len(rows)),
+        "subject": ids.take(rows), "time": batch.column("SentTimestamp").take(rows), "data": batch.column("Body").take(rows)})
+
+
+@demo("table_processor", f"""
+    WITH m AS (SELECT event_id, epoch_us(ts) AS time_us, props, event_id % 10 AS d FROM events),
+    copies AS (
+        SELECT *, unnest(generate_series(0, CASE WHEN d % 2 = 0 THEN 1 ELSE 0 END)) AS copy FROM m WHERE d <> 5 AND d <> 9)
+    SELECT event_id || '/' || copy AS id, 'shop.cart' AS type, event_id::VARCHAR AS subject, time_us, '{shapes.QUEUE_ARN}' AS source,
+           props AS data, NULL AS error
+    FROM copies
+    UNION ALL SELECT event_id::VARCHAR, NULL, NULL, NULL, '{shapes.QUEUE_ARN}', NULL, 'ValueError: a cart without number' FROM m WHERE d = 9""")
+def _(spark, sf):
+    """A user's processor on Arrow batches; messages it fails on are dead letters."""
+    register_table_processor("carts", carts)
+    events = processor("carts")(shapes.queue_messages(spark, sf), shapes.QUEUE_ARN)
+    good = events.where(F.size("errors") == 0).withColumn("error", F.lit(None).cast("string"))
+    return good.unionByName(dead_letters(events), allowMissingColumns=True).select(
+        "id", "type", "subject", micros(), "source", "data", "error")
+
+
 OBJECTS = f"""
     WITH m AS (
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS id, l_orderkey % 20 AS kind,
@@ -431,7 +466,7 @@ def _(spark, sf):
         F.array_join("errors", ",").alias("errors"))
 
 
-@demo("queue_counters", """
+COUNTERS_SQL = """
     SELECT 'sqssources' AS resource_group, 'ns-' || (user_id % 3) AS namespace, 'q-' || (user_id % 5) AS name,
            count(*) FILTER (event_type = 'click') AS message_enqueued_process_count,
            count(*) FILTER (event_type = 'view') AS message_dequeued_process_count,
@@ -439,7 +474,10 @@ def _(spark, sf):
            count(*) FILTER (event_type = 'signup') AS message_dequeued_delete_count,
            arg_max(floor(value)::BIGINT, ts) FILTER (event_type = 'error' AND event_id % 2 = 0) AS queue_capacity_process,
            arg_max(floor(value)::BIGINT, ts) FILTER (event_type = 'error' AND event_id % 2 = 1) AS queue_capacity_delete
-    FROM events GROUP BY 1, 2, 3""")
+    FROM events GROUP BY 1, 2, 3"""
+
+
+@demo("queue_counters", COUNTERS_SQL)
 def _(spark, sf):
     return queue_counters(shapes.queue_log(spark, sf))
 

@@ -7,18 +7,23 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.capture import poll_windows
 from ..operators.envelope import events_from_stream_records
 from ..operators.identity import sync_datasets
 from ..operators.metrics import as_metric_query
 from ..session import new_dir
+from ..sinks.acknowledged import refused_events, send_events, sent_events
 from ..sinks.events import read_events, write_events
-from ..sources.landed import land, poll_trigger, read_landed
+from ..sources.landed import land, poll_trigger, read_landed, union_shards
+from ..sources.shards import read_shards
 from ..streaming.acks import stream_ack_buffer
 from ..streaming.changes import stream_head_changes, stream_modified_since, stream_status_changes
-from ..streaming.windows import dedupe_redelivered, stream_log_capture, stream_metric_stat, stream_percentile
+from ..streaming.counters import latest_counters, stream_queue_counters
+from ..streaming.windows import (
+    dedupe_redelivered, stream_log_capture, stream_log_windows, stream_metric_stat, stream_percentile)
 from . import shapes
-from .demo_capture import HEADS, MODIFIED, STATUSES, modified_columns, status_columns
-from .demo_events import LOGS, SYNC, micros, record_list
+from .demo_capture import HEADS, LOG_CAPTURE, MODIFIED, OFF_TIES, STATUSES, modified_columns, rounded, status_columns
+from .demo_events import COUNTERS_SQL, LOGS, SYNC, micros, record_list
 from .registry import demo
 
 
@@ -56,6 +61,16 @@ def batches(spark, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
+def in_steps(spark, rows: DataFrame, kind: str, at: str, steps: int = 3) -> DataFrame:
+    """``rows`` landed in ``steps`` by time, one file each; a micro-batch of the stream that is returned reads one."""
+    path = new_dir(spark, kind)
+    cuts = rows.select(F.percentile_approx(at, [i / steps for i in range(1, steps)], 1000).alias("c")).first().c or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows if low is None else rows.where(F.col(at) > low)
+        land((part if high is None else part.where(F.col(at) <= high)).coalesce(1), kind, path)
+    return read_landed(spark, kind, path, streaming=True, max_files=1)
+
+
 @demo("read_landed_queue_message", """
     SELECT event_id::VARCHAR AS id, props AS body, epoch_us(ts) AS time_us, event_type AS kind FROM events""")
 def _(spark, sf):
@@ -66,21 +81,75 @@ def _(spark, sf):
 
 
 @demo("read_landed_object_event", """
-    SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS id, count(*) AS n FROM lineitem GROUP BY 1""")
+    SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS id, l_orderkey % 20 AS kind,
+           CASE l_orderkey % 20 WHEN 0 THEN 'hello ' || l_partkey WHEN 1 THEN '{"Records":[]}'
+                WHEN 2 THEN '{"Service":"Amazon S3","Event":"s3:TestEvent","Bucket":"bucket-' || (l_suppkey % 10) || '"}'
+                WHEN 3 THEN '{"k":' || l_partkey || '}' WHEN 4 THEN '{"Records":"none"}' WHEN 5 THEN 'null' WHEN 6 THEN '[1,2]'
+                ELSE '{"Records":[' || array_to_string(list_transform(generate_series(1, 1 + l_linenumber % 3), lambda i:
+                    '{"awsRegion":"us-east-1",' || CASE WHEN l_orderkey % 20 = 7 THEN '' ELSE '"eventName":"' ||
+                    CASE l_returnflag WHEN 'A' THEN 'ObjectCreated:Put' WHEN 'N' THEN 'ObjectRemoved:DeleteMarkerCreated'
+                         ELSE 'ObjectRestore:Post' END || '",' END ||
+                    '"s3":{"bucket":{"arn":"arn:aws:s3:::bucket-' || (l_suppkey % 10) || '","name":"bucket-' || (l_suppkey % 10) ||
+                    '"},"object":{"key":"' || concat_ws('/', l_orderkey, l_linenumber, i) || '","size":' || l_quantity::BIGINT || '}}}'), ',') || ']}'
+           END AS body
+    FROM lineitem""")
 def _(spark, sf):
     rows = landed(spark, shapes.object_messages(spark, sf).drop("MessageAttributes"), "object_event")
-    return rows.where("Body IS NOT NULL").groupBy(F.col("MessageId").alias("id")).agg(F.count("*").alias("n"))
+    order = F.substring_index("MessageId", "-", 1).cast("bigint")
+    return rows.select(F.col("MessageId").alias("id"), (order % 20).alias("kind"), F.col("Body").alias("body"))
+
+
+STREAM_RECORDS = """
+    SELECT 'shard-' || (user_id % 4) AS shard_id, event_id::VARCHAR AS sequence, user_id::VARCHAR AS partition_key,
+           epoch_us(ts) AS arrival_us, props AS payload FROM events"""
+
+
+def record_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "shard_id", F.col("SequenceNumber").alias("sequence"), F.col("PartitionKey").alias("partition_key"),
+        F.unix_micros("ApproximateArrivalTimestamp").alias("arrival_us"), F.decode("Data", "UTF-8").alias("payload"))
 
 
-@demo("read_landed_stream_record", """
-    SELECT 'shard-' || (user_id % 4) AS shard_id, event_id::VARCHAR AS sequence, props AS payload FROM events
-    WHERE ts > TIMESTAMP '2024-01-10'""")
+@demo("read_landed_stream_record", STREAM_RECORDS)
 def _(spark, sf):
+    return record_columns(landed(spark, shapes.stream_records(spark, sf), "stream_record"))
+
+
+@demo("start_position", STREAM_RECORDS + " WHERE ts > TIMESTAMP '2024-01-10 06:00:00'")
+def _(spark, sf):
+    """Folders by day: only those from the start position on are opened."""
     path = new_dir(spark, "stream_record")
+    land(shapes.stream_records(spark, sf), "stream_record", path, by_day=True)
+    after = F.lit("2024-01-10 06:00:00").cast("timestamp")
+    return record_columns(read_landed(spark, "stream_record", path, after=after, by_day=True))
+
+
+@demo("sharded_source", STREAM_RECORDS)
+def _(spark, sf):
+    """A stream with an offset per shard, read as Arrow batches."""
+    path = new_dir(spark, "shards")
     land(shapes.stream_records(spark, sf), "stream_record", path)
-    after = F.lit("2024-01-10 00:00:00").cast("timestamp")
-    rows = read_landed(spark, "stream_record", path, after=after)
-    return rows.select("shard_id", F.col("SequenceNumber").alias("sequence"), F.decode("Data", "UTF-8").alias("payload"))
+    return record_columns(drained(spark, read_shards(spark, "stream_record", path), "sharded"))
+
+
+@demo("acknowledged_sink", f"""
+    SELECT CASE WHEN event_id % 11 <> 0 THEN event_id::VARCHAR END AS id, '{shapes.STREAM_ARN}' AS source, epoch_us(ts) AS time_us,
+           user_id::VARCHAR AS subject, props AS payload,
+           CASE WHEN event_id % 11 = 0 THEN 'missing id' WHEN event_id % 13 = 0 THEN 'missing type' END AS error
+    FROM events""")
+def _(spark, sf):
+    """Events that the sink took, and those it refused with their reason."""
+    path, table = new_dir(spark, "to_send"), new_dir(spark, "sink")
+    events = events_from_stream_records(shapes.stream_records(spark, sf), shapes.STREAM_ARN)
+    number = F.col("id").cast("bigint")
+    events = events.withColumns({"type": F.when(number % 13 != 0, F.col("type")), "id": F.when(number % 11 != 0, F.col("id"))})
+    events.repartition(3).write.parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    send_events(stream, table, new_dir(spark, "sink-checkpoint")).awaitTermination()
+    refused = refused_events(spark, table).withColumn("time", F.timestamp_micros(F.col("time").cast("bigint")))
+    payload = F.decode(F.unbase64(F.get_json_object("data", "$.Data")), "UTF-8").alias("payload")
+    return sent_events(spark, table).withColumn("error", F.lit(None).cast("string")).drop("extensions").unionByName(
+        refused.drop("extensions")).select("id", "source", micros(), "subject", payload, "error")
 
 
 @demo("read_landed_change_record", """
@@ -171,30 +240,30 @@ def _(spark, sf):
 
 @demo("stream_head_changes", HEADS)
 def _(spark, sf):
-    heads = landed(spark, shapes.branch_heads(spark, sf), "repo_snapshot", streaming=True)
+    heads = in_steps(spark, shapes.branch_heads(spark, sf), "repo_snapshot", "poll_ts")
     out = new_dir(spark, "head_changes")
     with state_partitions(spark):
         stream_head_changes(heads, out, new_dir(spark, "head_changes-checkpoint")).awaitTermination()
-    return batches(spark, out).select(
+    return batches(spark, out).where("NOT late").select(
         "repo", F.unix_micros("poll_ts").alias("poll_us"), "commit_id", F.col("previous_commit").alias("previous"))
 
 
 @demo("stream_status_changes", STATUSES)
 def _(spark, sf):
-    prs = landed(spark, shapes.pull_requests(spark, sf), "pr_snapshot", streaming=True)
+    prs = in_steps(spark, shapes.pull_requests(spark, sf), "pr_snapshot", "poll_ts")
     out = new_dir(spark, "status_changes")
     with state_partitions(spark):
         stream_status_changes(prs, out, new_dir(spark, "status_changes-checkpoint")).awaitTermination()
-    return status_columns(batches(spark, out))
+    return status_columns(batches(spark, out).where("NOT late"))
 
 
 @demo("stream_modified_since", MODIFIED)
 def _(spark, sf):
-    users = landed(spark, shapes.users(spark, sf), "user", streaming=True)
+    users = in_steps(spark, shapes.users(spark, sf), "user", "poll_ts")
     out = new_dir(spark, "modified_since")
     with state_partitions(spark):
         stream_modified_since(users, out, new_dir(spark, "modified_since-checkpoint")).awaitTermination()
-    return modified_columns(batches(spark, out))
+    return modified_columns(batches(spark, out).where("NOT late"))
 
 
 @demo("stream_ack_buffer", """
@@ -235,6 +304,26 @@ def _(spark, sf):
     return closed.select("id", F.unix_seconds("ts").alias("start"), F.round("value", 4).alias("value"))
 
 
+PERIODS = [("minutes", "click", 300, "Sum"), ("hours", "click", 3600, "Average"), ("days", "view", 86_400, "Maximum"),
+           ("counts", "view", 3600, "SampleCount"), ("least", "click", 86_400, "Minimum")]
+
+
+@demo("stream_metric_periods", """
+    WITH points AS (SELECT event_type, value, epoch_us(ts) // 1000000 AS s FROM events WHERE event_type IN ('click', 'view')),
+    bound AS (SELECT max(epoch_us(ts)) / 1000000.0 AS top FROM events WHERE event_type IN ('click', 'view'))
+    """ + " UNION ALL ".join(f"""
+    SELECT '{id}' AS id, s // {period} * {period} AS start, round({call} + {OFF_TIES}, 4) AS value FROM points, bound
+    WHERE event_type = '{metric}' GROUP BY 2, top HAVING s // {period} * {period} + {period} <= top"""
+                             for (id, metric, period, _), call in zip(PERIODS, (
+                                 "sum(value)", "avg(value)", "max(value)", "count(value)::DOUBLE", "min(value)"))))
+def _(spark, sf):
+    """Three periods in one query table, over several micro-batches."""
+    points = in_steps(spark, shapes.event_points(spark, sf), "metric_point", "ts")
+    queries = union_shards(*[as_metric_query(spark, id, "Shop", metric, period, stat) for id, metric, period, stat in PERIODS])
+    closed = drained(spark, stream_metric_stat(points, queries), "metric_periods")
+    return closed.select("id", F.unix_seconds("ts").alias("start"), rounded())
+
+
 @demo("stream_percentile", CLOSED + """
     SELECT 'p90' AS id, start, round(quantile_cont(value, 0.9), 4) AS value FROM closed, bound
     WHERE start + 3600 <= top GROUP BY start""")
@@ -258,6 +347,32 @@ def _(spark, sf):
         "log_group", "log_stream", F.col("Timestamp").alias("stamp"), "start_ms", "end_ms", "late")
 
 
+@demo("stream_log_windows", LOG_CAPTURE)
+def _(spark, sf):
+    """Entries and poll windows of uneven length, both as streams of several micro-batches."""
+    ticks = shapes.events(spark, sf).where("event_type = 'purchase'").select(
+        shapes.numbered("shop-", F.col("user_id") % 4).alias("log_group"), F.col("ts").alias("tick"))
+    path = new_dir(spark, "windows")
+    windows = poll_windows(ticks, 300, source="log_group").select("log_group", "start_ms", "end_ms")
+    windows.repartition(3).write.parquet(path)
+    spans = spark.readStream.schema(windows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    logs = landed(spark, shapes.log_entries(spark, sf), "log_event", streaming=True)
+    return drained(spark, stream_log_windows(logs, spans, longest="60 days", delay="400 days"), "log_windows").select(
+        "log_group", "log_stream", F.col("Timestamp").alias("stamp"), "start_ms", "end_ms", "late")
+
+
+@demo("stream_queue_counters", COUNTERS_SQL)
+def _(spark, sf):
+    """Counters per tag after every micro-batch; the newest row of each tag."""
+    path, out = new_dir(spark, "queue_log"), new_dir(spark, "counters")
+    log = shapes.queue_log(spark, sf)
+    log.repartition(3).write.parquet(path)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    with state_partitions(spark):
+        stream_queue_counters(stream, out, new_dir(spark, "counters-checkpoint")).awaitTermination()
+    return latest_counters(spark.read.parquet(out))
+
+
 @demo("dedupe_redelivered", f"""
     SELECT DISTINCT event_id::VARCHAR AS id, '{shapes.STREAM_ARN}' AS source FROM events""")
 def _(spark, sf):

@@ -14,6 +14,10 @@ SETTINGS = {
     # required by transformWithState, and keeps large state off the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a micro-batch writes what it changed, which can be read back as a change feed
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # no megabytes set aside per state partition
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 

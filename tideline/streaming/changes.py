@@ -1,81 +1,278 @@
-"""Change detection on streams: the batch operators, carrying their last values along.
+"""Change detection on streams, with what is known of each key in the state store.
 
-A micro-batch runs the same operator as batch input does, with the last value per
-key of earlier micro-batches as ``prior``. A key that holds most of a micro-batch
-is therefore split as it is there, and no row passes through Python. The carried
-table has one row per key. It alternates between two folders: a batch writes one
-and reads the other, so a replayed batch finds its input untouched.
+A key's state holds the time and value of its last settled poll, hence the cost of a micro-batch follows its
+rows and not the keys ever seen. Rows wait until a poll of their group is ``delay`` ahead of them, so polls may
+come out of order or in parts; a row older than what is settled comes out marked ``late``. Groups that can be
+large are split into parts, which all learn of every poll.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import IntegerType
 
-from ..operators.capture import head_changes, latest_values, modified_since, status_changes
-from ..sinks.events import run_batches
+from ..operators.envelope import TIMESTAMPS
+from ..schemas import BOOL, LONG, STR, struct
+from ..sources.landed import poll_trigger
 
-Step = Callable[[DataFrame, "DataFrame | None"], DataFrame]
+#: Parts that the rows of one repository are dealt into.
+PARTS = 8
 
 
-def carry_state(
-    stream: DataFrame, operator: Step, state_of: Step, out: str, checkpoint: str,
-    interval_seconds: float | None = None,
-) -> StreamingQuery:
-    """Run ``operator(batch, prior)`` per micro-batch; ``state_of`` gives the next ``prior``.
+def micros(delay: str) -> int:
+    """A time span of SQL in microseconds."""
+    spark = SparkSession.getActiveSession()
+    return spark.range(1).select(F.unix_micros(F.expr(f"timestamp_seconds(0) + interval {delay}"))).first()[0]
+
+
+class Settling(StatefulProcessor):
+    """Keeps rows (at, item, value) until they are ``delay`` behind the newest of the group, then hands them on in order.
 
-    Results go to ``out/batch=N``, state to ``checkpoint/carried/``.
+    ``item`` may be null: the row then says only that there was a poll.
     """
-    def folder(batch_id: int) -> str:
-        return f"{checkpoint}/carried/slot={batch_id % 2}"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        prior = batch.sparkSession.read.parquet(folder(batch_id - 1)) if batch_id > 0 else None
-        operator(batch, prior).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        state_of(batch, prior).write.mode("overwrite").parquet(folder(batch_id))
+    columns = ["at", "item", "value"]
 
-    return run_batches(stream, write, checkpoint, interval_seconds)
+    def __init__(self, delay: int):
+        self.delay = delay
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting = handle.getListState("waiting", "at bigint, item string, value string")
+        self.newest = handle.getValueState("newest", "at bigint")
+        self.begin(handle)
 
-def stream_head_changes(
-    heads: DataFrame, out: str, checkpoint: str, tiebreak: Sequence[str] = (),
-    interval_seconds: float | None = None,
-) -> StreamingQuery:
-    """``head_changes`` with the last commit per (repo, branch) as state."""
-    def state_of(batch: DataFrame, prior: DataFrame | None) -> DataFrame:
-        return latest_values(batch, ["repo", "branch"], ["commit_id"], ["poll_ts", *tiebreak], prior)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat([r[self.columns] for r in rows], ignore_index=True)
+        newest = int(frame["at"].max())
+        if self.newest.exists():
+            newest = max(newest, self.newest.get()[0])
+        if self.waiting.exists():
+            frame = pd.concat([pd.DataFrame(list(self.waiting.get()), columns=self.columns), frame], ignore_index=True)
+        ready = frame["at"] <= newest - self.delay
+        held = frame[~ready]
+        if len(held):
+            self.waiting.put([(int(a), *(None if pd.isna(x) else x for x in rest)) for a, *rest in held.itertuples(index=False)])
+        elif self.waiting.exists():
+            self.waiting.clear()
+        self.newest.update((newest,))
+        frame = frame[ready].sort_values("at", kind="stable", ignore_index=True)
+        if len(frame):
+            out = self.settle(frame.astype(object).where(frame.notna(), None))
+            if len(out):
+                yield pd.concat([pd.DataFrame([key] * len(out), columns=self.keys, index=out.index), out], axis=1)
 
-    return carry_state(
-        heads, lambda batch, prior: head_changes(batch, prior, tiebreak), state_of, out, checkpoint,
-        interval_seconds)
+    def close(self) -> None:
+        pass
 
 
-def stream_status_changes(
-    prs: DataFrame, out: str, checkpoint: str, tiebreak: Sequence[str] = (),
-    interval_seconds: float | None = None,
-) -> StreamingQuery:
-    """``status_changes`` with the last status per (repo, request) as state."""
-    def state_of(batch: DataFrame, prior: DataFrame | None) -> DataFrame:
-        return latest_values(batch, ["repo", "pr_id"], ["status"], ["poll_ts", *tiebreak], prior)
+class ValueChanges(Settling):
+    """Rows whose value differs from that of the poll before."""
 
-    return carry_state(
-        prs, lambda batch, prior: status_changes(batch, prior, tiebreak), state_of, out, checkpoint,
-        interval_seconds)
+    keys = ["repo", "branch"]
 
+    def begin(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "at bigint, value string")
 
-def stream_modified_since(
-    users: DataFrame, out: str, checkpoint: str, interval_seconds: float | None = None,
-) -> StreamingQuery:
-    """``modified_since`` with the high mark per pool as state.
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        at, value = initialState.sort_values("at")[["at", "value"]].iloc[-1]
+        self.last.update((int(at), value))
+
+    def settle(self, frame: pd.DataFrame) -> pd.DataFrame:
+        known = self.last.get() if self.last.exists() else None
+        late = frame["at"] < known[0] if known else pd.Series(False, frame.index)
+        fresh = frame[~late]
+        previous = fresh["value"].shift(1)
+        changed = pd.Series(True, fresh.index)
+        if len(fresh):
+            if known:
+                previous.iloc[0] = known[1]
+            else:
+                changed.iloc[0] = False
+            changed &= (fresh["value"] != previous) & ~(fresh["value"].isna() & previous.isna())
+            self.last.update((int(fresh["at"].iloc[-1]), fresh["value"].iloc[-1]))
+        out = fresh[["at", "value"]].assign(previous=previous, late=False)[changed]
+        return pd.concat([out, frame.loc[late, ["at", "value"]].assign(previous=None, late=True)])
+
+
+class ItemChanges(Settling):
+    """Rows of items that are new or whose value differs from their poll before; the group's first poll is baseline."""
+
+    keys = ["repo", "part"]
+
+    def begin(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first", "at bigint")
+        self.last = handle.getMapState("last", "item string", "at bigint, value string")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.first.update((int(initialState["at"].min()),))
+        items = initialState[initialState["item"].notna()].sort_values("at").drop_duplicates("item", keep="last")
+        for at, item, value in items[self.columns].itertuples(index=False):
+            self.last.updateValue((item,), (int(at), value))
+
+    def settle(self, frame: pd.DataFrame) -> pd.DataFrame:
+        if not self.first.exists():
+            self.first.update((int(frame["at"].iloc[0]),))
+        first = self.first.get()[0]
+        frame = frame[frame["item"].notna()]
+        known = {item: self.last.getValue((item,)) for item in frame["item"].unique() if self.last.containsKey((item,))}
+        seen_at = frame["item"].map({item: v[0] for item, v in known.items()})
+        late = (frame["at"] < seen_at).fillna(False).astype(bool)
+        fresh = frame[~late]
+        previous = fresh.groupby("item")["value"].shift(1)
+        opening = ~fresh.duplicated("item")
+        previous = previous.astype(object).mask(opening, fresh["item"].map({item: v[1] for item, v in known.items()}))
+        new = opening & ~fresh["item"].isin(known)
+        same = (fresh["value"] == previous) | (fresh["value"].isna() & previous.isna())
+        changed = (new & (fresh["at"] > first)) | (~new & ~same)
+        for at, item, value in fresh.drop_duplicates("item", keep="last")[self.columns].itertuples(index=False):
+            self.last.updateValue((item,), (int(at), value))
+        columns = ["item", "at", "value"]
+        out = fresh[columns].assign(previous=previous.where(previous.notna(), None), late=False)[changed]
+        return pd.concat([out, frame.loc[late, columns].assign(previous=None, late=True)])
+
+
+class AboveMark(Settling):
+    """Rows whose ``item``, a time in microseconds, exceeds all of earlier polls."""
+
+    keys = ["pool"]
+
+    def begin(self, handle: StatefulProcessorHandle) -> None:
+        # the last settled poll, the highest time before it (the mark of its rows), and the highest with it
+        self.last = handle.getValueState("last", "at bigint, mark bigint, top bigint")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        mark = int(initialState["mark"].max())
+        self.last.update((None, mark, mark))
+
+    def settle(self, frame: pd.DataFrame) -> pd.DataFrame:
+        last_at, mark, top = self.last.get() if self.last.exists() else (None, None, None)
+        late = frame["at"] < last_at if last_at is not None else pd.Series(False, frame.index)
+        fresh = frame[~late]
+        times = pd.to_numeric(fresh["item"])
+        out = []
+        for at, rows in times.groupby(fresh["at"]):
+            if at != last_at:
+                last_at, mark = int(at), top
+            if mark is not None:
+                over = rows.index[rows > mark]
+                out.append(fresh.loc[over, ["at", "value"]].assign(mark=mark, late=False))
+            if rows.notna().any():
+                top = int(rows.max()) if top is None else max(top, int(rows.max()))
+        self.last.update((last_at, mark, top))
+        return pd.concat([*out, frame.loc[late, ["at", "value"]].assign(mark=None, late=True)])
+
+
+def _stateful(rows: DataFrame, processor: Settling, output: dict, prior: DataFrame | None) -> DataFrame:
+    return rows.groupBy(*processor.keys).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=struct(output), outputMode="Append", timeMode="None",
+        initialState=None if prior is None else prior.groupBy(*processor.keys))
+
+
+def _at(column: str = "poll_ts") -> Column:
+    return F.unix_micros(column).alias("at")
 
-    A poll must land whole, as one commit of files: the mark moves with each micro-batch.
+
+def head_change_stream(heads: DataFrame, delay: str = "0 seconds", prior: DataFrame | None = None) -> DataFrame:
+    """``head_changes`` on a stream: (repo, branch, poll_ts, commit_id, previous_commit, late).
+
+    ``prior`` has the known (repo, branch, poll_ts, commit_id). ``late`` rows are older than the last settled poll
+    of their branch and are not compared.
+    """
+    columns = ["repo", "branch", _at(), F.lit(None).cast("string").alias("item"), F.col("commit_id").alias("value")]
+    known = None if prior is None else prior.select(*columns)
+    found = _stateful(heads.select(*columns), ValueChanges(micros(delay)),
+                      {"repo": STR, "branch": STR, "at": LONG, "value": STR, "previous": STR, "late": BOOL}, known)
+    return found.select(
+        "repo", "branch", F.timestamp_micros("at").alias("poll_ts"), F.col("value").alias("commit_id"),
+        F.col("previous").alias("previous_commit"), "late")
+
+
+def status_change_stream(
+    prs: DataFrame, delay: str = "0 seconds", prior: DataFrame | None = None, parts: int = PARTS,
+    marks_kept: str = "1 day",
+) -> DataFrame:
+    """``status_changes`` on a stream: (repo, pr_id, poll_ts, status, previous_status, late).
+
+    A row without ``pr_id`` is a poll that found nothing; it can be a repository's first. ``prior`` has the known
+    (repo, pr_id, poll_ts, status); a repository in it has had its first poll. The requests of a repository are dealt
+    into ``parts``; each poll is told to all parts once, which is remembered for ``marks_kept``.
     """
-    def state_of(batch: DataFrame, prior: DataFrame | None) -> DataFrame:
-        marks = batch.select("pool", F.col("UserLastModifiedDate").alias("mark"))
-        if prior is not None:
-            marks = marks.unionByName(prior.select("pool", "mark"))
-        return marks.groupBy("pool").agg(F.max("mark").alias("mark"))
+    part = F.pmod(F.xxhash64("pr_id"), F.lit(parts)).cast("int").alias("part")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    none = F.lit(None).cast("string")
+    row = ["repo", part, _at(), F.col("pr_id").alias("item"), F.col("status").alias("value")]
+    mark = ["repo", every, _at(), none.alias("item"), none.alias("value")]
+    # a watermark starts at the epoch and lets nothing of that very instant pass, hence the day
+    polls = prs.select("repo", "poll_ts", (F.col("poll_ts") + F.expr("interval 1 day")).alias("_seen")).withWatermark(
+        "_seen", marks_kept).dropDuplicatesWithinWatermark(["repo", "poll_ts"])
+    rows = polls.select(*mark).unionByName(prs.where("pr_id IS NOT NULL").select(*row))
+    known = None
+    if prior is not None:
+        firsts = prior.groupBy("repo").agg(F.min("poll_ts").alias("poll_ts"))
+        known = firsts.select(*mark).unionByName(prior.where("pr_id IS NOT NULL").select(*row))
+    found = _stateful(rows, ItemChanges(micros(delay)), {
+        "repo": STR, "part": IntegerType(), "item": STR, "at": LONG, "value": STR, "previous": STR, "late": BOOL}, known)
+    return found.select(
+        "repo", F.col("item").alias("pr_id"), F.timestamp_micros("at").alias("poll_ts"), F.col("value").alias("status"),
+        F.col("previous").alias("previous_status"), "late")
+
+
+def modified_stream(users: DataFrame, delay: str = "0 seconds", prior: DataFrame | None = None) -> DataFrame:
+    """``modified_since`` on a stream: the columns of ``users``, ``mark`` and ``late``.
+
+    A poll may come in parts; its mark is that of the polls before it. ``prior`` has the known (pool, mark).
+    Rows of one pool in one micro-batch meet in one task, in Arrow batches.
+    """
+    columns = [c for c in users.columns if c not in ("pool", "poll_ts")]
+    form = {"timestampFormat": TIMESTAMPS}
+    rows = users.select(
+        "pool", _at(), F.unix_micros("UserLastModifiedDate").cast("string").alias("item"),
+        F.to_json(F.struct(*columns), form).alias("value"))
+    known = None if prior is None else prior.select("pool", F.unix_micros("mark").alias("mark"))
+    found = _stateful(rows, AboveMark(micros(delay)), {"pool": STR, "at": LONG, "value": STR, "mark": LONG, "late": BOOL}, known)
+    return found.select(
+        "pool", F.timestamp_micros("at").alias("poll_ts"), F.from_json("value", users.select(*columns).schema, form).alias("_user"),
+        F.timestamp_micros("mark").alias("mark"), "late").select("pool", "poll_ts", "_user.*", "mark", "late")
+
 
-    return carry_state(users, modified_since, state_of, out, checkpoint, interval_seconds)
+def write_changes(
+    changes: DataFrame, out: str, checkpoint: str, interval_seconds: float | None = None,
+) -> StreamingQuery:
+    """Append a change stream to Parquet files below ``out``, each micro-batch once."""
+    return (
+        changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        .trigger(**poll_trigger(interval_seconds)).start())
+
+
+def stream_head_changes(heads: DataFrame, out: str, checkpoint: str, interval_seconds: float | None = None, **options) -> StreamingQuery:
+    """``head_change_stream`` written to ``out``."""
+    return write_changes(head_change_stream(heads, **options), out, checkpoint, interval_seconds)
+
+
+def stream_status_changes(prs: DataFrame, out: str, checkpoint: str, interval_seconds: float | None = None, **options) -> StreamingQuery:
+    """``status_change_stream`` written to ``out``."""
+    return write_changes(status_change_stream(prs, **options), out, checkpoint, interval_seconds)
+
+
+def stream_modified_since(users: DataFrame, out: str, checkpoint: str, interval_seconds: float | None = None, **options) -> StreamingQuery:
+    """``modified_stream`` written to ``out``."""
+    return write_changes(modified_stream(users, **options), out, checkpoint, interval_seconds)
+
+
+def settled(spark: SparkSession, checkpoint: str, columns: Sequence[str], changes_from: int | None = None) -> DataFrame:
+    """The last settled values that a change stream keeps below ``checkpoint``: its keys, and ``columns`` of its state.
+
+    They can be the ``prior`` of a batch or of another stream. With ``changes_from`` the change feed of the state since that
+    micro-batch instead, with ``batch_id`` and ``change_type``.
+    """
+    reader = spark.read.format("statestore").option("stateVarName", "last")
+    extra = []
+    if changes_from is not None:
+        reader = reader.option("readChangeFeed", "true").option("changeStartBatchId", changes_from)
+        extra = ["batch_id", "change_type"]
+    return reader.load(checkpoint).select(*extra, "key.*", *[F.col(f"value.{c}").alias(c) for c in columns])
