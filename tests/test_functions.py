@@ -19,15 +19,15 @@ def apply(spark, values, fn, schema="x string"):
 
 
 def test_arn(spark):
-    texts = ["arn:partition:service:region:account:res/a:b", "arn:::region::", "arn:partition:", "not-arn:", "", None]
+    texts = ["arn:cloud-x:lake:north-9:0042:box/7:blue", "arn:::north-9::", "arn:cloud-x:", "urn:cloud-x:", "", None]
     assert apply(spark, texts, arn_error) == [
         None, None, "not enough sections", "invalid prefix", "invalid prefix", "invalid prefix"]
     parsed = apply(spark, texts, arn_parse)
-    assert tuple(parsed[0]) == ("partition", "service", "region", "account", "res/a:b")
-    assert tuple(parsed[1]) == ("", "", "region", "", "")
+    assert tuple(parsed[0]) == ("cloud-x", "lake", "north-9", "0042", "box/7:blue")
+    assert tuple(parsed[1]) == ("", "", "north-9", "", "")
     assert parsed[2:] == [None] * 4
     assert apply(spark, texts[:2], lambda x: arn_format(arn_parse(x))) == texts[:2]
-    assert apply(spark, [texts[0], "x"], lambda x: bucket_arn(arn_parse(x))) == ["arn:partition:service:::res/a:b", None]
+    assert apply(spark, [texts[0], "x"], lambda x: bucket_arn(arn_parse(x))) == ["arn:cloud-x:lake:::box/7:blue", None]
 
 
 def test_arn_resource(spark):
@@ -69,8 +69,8 @@ def test_duration_format(spark):
 
 
 def test_names(spark):
-    assert apply(spark, ["Country.Spain.Capital", "Blue_Pixel", "été-1"], ext_attr_name) == [
-        "sqsmsgcountryspaincapital", "sqsmsgbluepixel", "sqsmsgt1"]
+    assert apply(spark, ["Harbour.North.Pier", "Wet_Rope", "mât-1"], ext_attr_name) == [
+        "sqsmsgharbournorthpier", "sqsmsgwetrope", "sqsmsgmt1"]
     assert apply(spark, ["ObjectRemoved:DeleteMarkerCreated", "ReducedRedundancyLostObject"], object_event_type) == [
         "objectremoved", "reducedredundancylostobject"]
     assert apply(spark, ["s3:ObjectCreated:*", "Replication:x"], spec_event_type) == ["objectcreated", "replication"]
