@@ -168,7 +168,7 @@ def metric_stat(
     spec = stat_spec(F.col("stat"))
     rows = match_points(points, queries.where(spec["share"] & spec["kind"].isin(BY_RANK))).select(*keys, "value", "spread")
     found = rank_values(rows.withColumn("n", F.lit(1).cast("bigint")), intervals(by_rank, keys), keys)
-    return simple.unionByName(rank_stat(by_rank, found, keys))
+    return simple.unionByName(rank_stat(found, keys))
 
 
 def known_stat(stat: Column) -> Column:

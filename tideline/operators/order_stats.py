@@ -97,7 +97,8 @@ def wanted_ranks(groups: DataFrame) -> DataFrame:
 
 
 def intervals(groups: DataFrame, keys: list[str], by_sketch: bool = True) -> DataFrame:
-    """One row per cell of (keys, cells, numbers, least, most_number[, sketch]): keys, cell, first, last, lo, hi.
+    """One row per cell of (keys, spec, n, at, cells, numbers, least, most_number[, sketch]): keys, kind, n_all, at, cell, first,
+    last, lo, hi.
 
     ``lo`` and ``hi`` are values between which the ranks lie; NaN ranks above all numbers.
     """
@@ -113,12 +114,12 @@ def intervals(groups: DataFrame, keys: list[str], by_sketch: bool = True) -> Dat
         lo = F.when(below > 0, F.get("_grid", F.floor(below * GRID).cast("int"))).otherwise(lo)
         hi = F.when(above < 1, F.get("_grid", F.ceil(above * GRID).cast("int"))).otherwise(hi)
     return rows.select(
-        *keys, "cell", "first", "last", F.when(F.col("first") >= numbers, nan).otherwise(lo).alias("lo"),
+        *keys, F.col("spec.kind").alias("kind"), F.col("n").alias("n_all"), "at", "cell", "first", "last", F.when(F.col("first") >= numbers, nan).otherwise(lo).alias("lo"),
         F.when(F.col("last") >= numbers, nan).otherwise(hi).alias("hi"))
 
 
 def rank_values(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Per cell: keys, cell, the values ``a`` and ``b`` at its first and last rank, ``below`` (the sum of all before the
+    """Per cell: keys, kind, n_all, at, cell, first, last, the values ``a`` and ``b`` at its first and last rank, ``below`` (the sum of all before the
     first) and ``through`` (the sum up to and with the last).
 
     ``rows`` has keys, value, n (rows of that value) and spread, any small whole number that splits a group.
@@ -129,7 +130,8 @@ def rank_values(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame
         cells.withColumn("spread", F.explode(spread)), [*keys, "spread"]).where(value <= hi)
     cell = [*keys, "cell"]
     # all that is below the interval is one group, without a value
-    counted = met.groupBy(*cell, "first", "last", "lo", "hi", F.when(value >= lo, value).alias("value")).agg(
+    known = ["kind", "n_all", "at", "first", "last"]
+    counted = met.groupBy(*cell, *known, "lo", "hi", F.when(value >= lo, value).alias("value")).agg(
         F.sum("n").alias("n"), F.sum(value * F.col("n")).alias("s"))
     even = (hi - lo > 0) & (hi - lo < float("inf"))  # not so for equal, infinite and NaN bounds: one step
     # bounded, as the optimizer may ask for the step of a value above the interval
@@ -139,6 +141,10 @@ def rank_values(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame
 
     steps = counted.groupBy(*cell, "step").agg(
         F.sum("n").alias("n"), F.sum("s").alias("s"), F.first("first").alias("first"), F.first("last").alias("last"))
+    whole = Window.partitionBy(*cell)
+    met_all, met_low = F.sum("n").over(whole), F.coalesce(F.sum(F.when(F.col("step") < 0, F.col("n"))).over(whole), F.lit(0))
+    missed = F.raise_error(F.lit("a rank lies outside the interval of its sketch; raise SKETCH_K")).cast("boolean")
+    steps = steps.withColumn("sound", F.when((met_all > F.col("last")) & (met_low <= F.col("first")), True).otherwise(missed))
     before = Window.partitionBy(*cell).orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     zero, nothing = F.lit(0).cast("long"), F.lit(0.0)
     steps = steps.withColumns({"n_before": F.coalesce(F.sum("n").over(before), zero), "s_before": F.coalesce(F.sum("s").over(before), nothing)})
@@ -146,7 +152,7 @@ def rank_values(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame
     def holds(rank: str) -> Column:
         return (F.col("n_before") <= F.col(rank)) & (F.col(rank) < F.col("n_before") + F.col("n"))
 
-    found = steps.where((F.col("step") >= 0) & (holds("first") | holds("last"))).select(*cell, "step", "n_before", "s_before")
+    found = steps.where(F.col("sound") & (F.col("step") >= 0) & (holds("first") | holds("last"))).select(*cell, "step", "n_before", "s_before")
     inside = counted.join(found, [*cell, "step"])
     along = Window.partitionBy(*cell, "step").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     inside = inside.withColumns({
@@ -158,24 +164,23 @@ def rank_values(rows: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame
         return F.col("s_before") + F.when(count == 0, 0.0).otherwise(value * count)
 
     return inside.groupBy(*cell).agg(
-        F.max(F.when(holds("first"), value)).alias("a"), F.max(F.when(holds("last"), value)).alias("b"),
+        *[F.first(c).alias(c) for c in known], F.max(F.when(holds("first"), value)).alias("a"), F.max(F.when(holds("last"), value)).alias("b"),
         F.max(F.when(holds("first"), upto(F.col("first")))).alias("below"),
         F.max(F.when(holds("last"), upto(F.col("last") + 1))).alias("through"))
 
 
-def rank_stat(groups: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, value): the statistics of ``groups`` (with spec, n, at, cut, end, cells) from the ``found`` values of their cells."""
+def rank_stat(found: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, value): the statistics that the ``found`` values of their cells give."""
     of = lambda cell, column: F.max(F.when(F.col("cell") == cell, F.col(column))).alias(f"_{column}{cell}")
-    values = found.groupBy(*keys).agg(of(0, "a"), of(0, "b"), of(0, "below"), of(1, "b"), of(1, "through"))
-    rows = groups.where(F.size("cells") > 0).drop("sketch").join(values, keys, "left")
-    kind, n, a, b = F.col("spec")["kind"], F.col("n"), F.col("_a0"), F.col("_b0")
+    rows = found.groupBy(*keys).agg(
+        F.first("kind").alias("kind"), F.first("n_all").alias("n"), F.first("at").alias("at"), of(0, "a"), of(0, "b"), of(0, "below"),
+        of(0, "first"), of(1, "b"), of(1, "through"), of(1, "last"))
+    kind, n, a, b = F.col("kind"), F.col("n"), F.col("_a0"), F.col("_b0")
     between = F.when(a == b, a).otherwise(a + (b - a) * (F.col("at") - F.floor("at")))
-    kept, cut, end = F.col("_through1") - F.col("_below0"), F.col("cut"), F.col("end")
+    kept, cut, end = F.col("_through1") - F.col("_below0"), F.col("_first0"), F.col("_last1") + 1
     ends = F.when(cut == 0, 0.0).otherwise(a * cut) + F.when(end == n, 0.0).otherwise(F.col("_b1") * (n - end))
     value = F.when(kind == "p", between).when(kind == "ts", kept).when(kind == "tm", kept / (end - cut)).otherwise((kept + ends) / n)
-    missed = F.raise_error(F.lit("a rank lies outside the interval of its sketch; raise SKETCH_K")).cast("double")
-    sound = a.isNotNull() & F.when(kind == "p", b.isNotNull()).otherwise(F.col("_b1").isNotNull())
-    return rows.select(*keys, F.when(sound, value).otherwise(missed).alias("value"))
+    return rows.select(*keys, value.alias("value"))
 
 
 def exact_percentile(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -192,5 +197,4 @@ def exact_percentile(df: DataFrame, keys: list[str]) -> DataFrame:
     cell = F.struct(F.lit(0).alias("cell"), F.floor(at).cast("long").alias("first"), F.ceil(at).cast("long").alias("last"))
     groups = groups.withColumns({
         "spec": spec, "numbers": F.coalesce("numbers", F.lit(0)), "at": at, "cells": F.array(cell), "cut": F.lit(0), "end": F.col("n")})
-    found = rank_values(df.drop("fraction"), intervals(groups, keys, by_sketch=False), keys)
-    return rank_stat(groups, found, keys)
+    return rank_stat(rank_values(df.drop("fraction"), intervals(groups, keys, by_sketch=False), keys), keys)
