@@ -272,3 +272,15 @@ def test_queue_counters(spark):
 def test_select_repo_events_needs_a_kind(spark):
     with pytest.raises(ValueError):
         select_repo_events(spark.createDataFrame([("x",)], "type string"), "pushes")
+
+
+def test_a_filter_parses_no_record_anew(spark):
+    """Bodies are parsed once and records once, also where events are chosen by what was found in them."""
+    bodies = [("1", '{"Records":[{"eventName":"A:B"},null,{"s3":{"object":{"key":"k"}}}]}'), ("2", "plain")]
+    messages = spark.createDataFrame(bodies, "MessageId string, Body string").withColumn(
+        "MessageAttributes", F.lit(None).cast("map<string,struct<DataType:string,StringValue:string>>"))
+    failed = dead_letters(objects_from_messages(messages, "arn:aws:sqs:us-east-1:1:q")).select("id", "error")
+    assert sorted(r.error for r in failed.collect()) == [
+        "missing eventName; missing s3.bucket.arn", "missing eventName; missing s3.bucket.arn; missing s3.object.key",
+        "missing s3.bucket.arn; missing s3.object.key"]
+    assert failed._jdf.queryExecution().executedPlan().toString().count("from_json(") == 2

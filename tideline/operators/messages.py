@@ -49,7 +49,8 @@ def objects_from_messages(df: DataFrame, fallback_source: str | Column) -> DataF
     test event gives one. Any other body is passed on as an ordinary message.
     A record without event name, bucket or key, and a test event without bucket,
     keeps its row with ``errors`` set (see ``dead_letters``). Each body is parsed
-    once, in place: no shuffle.
+    once, and each record once as it is listed, below the generator: a filter on
+    the events does not pass that, so it never parses records anew. No shuffle.
     """
     parsed = F.from_json(F.concat(F.lit("["), F.col("Body"), F.lit("]")), BODY, STRICT)
     rows = df.select(
@@ -66,12 +67,13 @@ def objects_from_messages(df: DataFrame, fallback_source: str | Column) -> DataF
     def only(branch: str, value: Column) -> Column:
         return F.when(F.col("_branch") == branch, value)
 
-    records = only("record", F.col("_body.Records")).otherwise(F.array(F.lit(None).cast("string")))
+    read = F.transform("_body.Records", lambda text: F.struct(text.alias("text"), F.from_json(text, RECORD).alias("read")))
+    none = F.lit(None).cast(f"struct<text:string,read:struct<{RECORD}>>")
     rows = rows.select(
         "_id", "_branch", only("message", F.col("_message")).alias("_message"),
         only("test", F.col("_text")).alias("_text"), only("test", _text(F.col("_body.Bucket"))).alias("_test_bucket"),
-        F.explode(records).alias("_record"))
-    rows = rows.withColumn("_r", only("record", F.from_json("_record", RECORD)))
+        F.explode(only("record", read).otherwise(F.array(none))).alias("_item"))
+    rows = rows.select("*", F.col("_item.text").alias("_record"), F.col("_item.read").alias("_r")).drop("_item")
     rows = rows.withColumns({
         "_name": _member_text(F.col("_record"), "$.eventName", F.col("_r.eventName")),
         "_key": _member_text(F.col("_record"), "$.s3.object.key", F.col("_r.s3.object.key")),
