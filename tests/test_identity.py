@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators.envelope import events_from_logs, events_from_messages
+from tideline.operators.identity import sync_datasets
 from tideline.operators.metrics import exact_percentile
-from tideline.schemas import LANDED
+from tideline.schemas import LANDED, SYNC_RECORD
 from tideline.session import new_dir
 from tideline.sinks.events import read_events, write_events
 from tideline.sources.landed import poll_trigger
@@ -73,3 +74,14 @@ def test_text_data_stays_json(spark):
     path = new_dir(spark, "events")
     write_events(df, path)
     assert {r.id: r.data for r in read_events(spark, path).collect()} == dict(rows)
+
+
+def test_large_and_small_datasets_have_the_same_parts(spark):
+    """Datasets that are ordered as one list come in the parts that shared ones come in."""
+    rows = [(f"i{i % 3}", f"d{i % 7}" if i % 50 else None, f"k{i % 90}", str(i)) for i in range(900)] + [(None, "d1", "k", "v")]
+    records = spark.createDataFrame(rows, "IdentityId string, DatasetName string, Key string, Value string")
+    records = records.withColumns({f.name: F.lit(None).cast(f.dataType) for f in SYNC_RECORD if f.name not in records.columns})
+    datasets = spark.createDataFrame([(f"i{i}", f"d{k}") for i in range(4) for k in range(8)] + [("i0", None), ("i1", "d1")], "IdentityId string, DatasetName string")
+    identities = spark.createDataFrame([("i0",), ("i1",), ("i3",), ("i1",)], "IdentityId string")
+    found = [sorted(map(str, sync_datasets(identities, datasets, records, part_records=8, spread=4, together=n).collect())) for n in (8, 45, 1000)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 80
