@@ -3,8 +3,9 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tideline.operators.capture import head_changes, log_capture, modified_since, status_changes
 from tideline.operators.messages import queue_counters
@@ -12,7 +13,8 @@ from tideline.operators.metrics import as_metric_query, metric_stat
 from tideline.session import configure, new_dir
 from tideline.sources.landed import land, poll_trigger, read_landed, union_shards
 from tideline.streaming.changes import (
-    head_change_stream, modified_stream, settled, status_change_stream, stream_head_changes, stream_status_changes)
+    ValueChanges, _tops, head_change_stream, modified_stream, settled, status_change_stream, stream_head_changes,
+    stream_status_changes)
 from tideline.streaming.counters import LiveCounters, latest_counters, observe_counters, stream_queue_counters
 from tideline.streaming.windows import dedupe_redelivered, stream_log_windows, stream_metric_stat, undated
 
@@ -294,3 +296,58 @@ def test_landed_by_day_is_pruned(spark):
     (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_dir(spark, "c")).trigger(**poll_trigger()).start()
      .awaitTermination())
     assert spark.read.parquet(out).count() == 3
+
+
+class Asked:
+    """A state variable of one group in memory, that counts how often it is asked or told."""
+
+    calls = 0
+
+    def __init__(self):
+        self.kept = None
+
+    def exists(self):
+        Asked.calls += 1
+        return self.kept is not None
+
+    def get(self):
+        Asked.calls += 1
+        return self.kept
+
+    def update(self, value):
+        Asked.calls += 1
+        self.kept = value
+
+
+class Handle:
+    getValueState = getListState = lambda self, *a: Asked()
+
+
+def test_a_group_asks_its_state_three_times():
+    """Groups are many: what one of them costs is what a stream of heads costs."""
+    processor, row = ValueChanges(0), Row("repo", "branch", "at", "item", "value")
+    processor.init(Handle())
+    feed = lambda *rows: [(r.at, r.value, r.previous, r.late) for r in processor.handleInputRows(("r", "m"), (row("r", "m", a, None, v) for a, v in rows), None)]
+    assert feed((2, "b"), (1, "a"), (3, "b")) == [(2, "b", "a", False)]
+    Asked.calls = 0
+    assert feed((5, None), (4, "b"), (1, "z")) == [(1, "z", None, True), (5, None, "b", False)]
+    assert Asked.calls == 3
+
+
+def test_a_pool_is_shared_by_tasks(spark):
+    """Rows of one pool are in many groups, and each group learns the highest time of every poll."""
+    rows = [("a", float(t), f"u{k}", float(t * 10 + (90 if (t, k) == (3, 5) else k))) for t in range(6) for k in range(20)]
+    steps = user_steps(spark, rows)
+    for i in range(0, len(rows), 50):
+        steps.add(rows[i:i + 50])
+    columns = ("pool", "s", "Username", "mark")
+    assert rows_of(steps.run(modified_stream), *columns) == rows_of(modified_since(steps.frame(rows)), *columns)
+    groups = settled(spark, steps.checkpoint, ["at", "top"]).collect()
+    assert len({g.part for g in groups}) > 8 and {(g.at, g.top) for g in groups} == {(5_000_000, 120_000_000)}
+
+
+def test_tops_of_polls_stay_small(spark):
+    """What a task tells of its polls does not grow with its rows."""
+    batch = lambda i: pa.RecordBatch.from_pydict({"pool": ["a", None] * 40_000, "at": [1, 2] * 40_000, "top": [i, None] * 40_000})
+    told = pa.Table.from_batches(_tops(iter([batch(i) for i in (3, 9, 4)]))).to_pylist()
+    assert sorted(map(str, told)) == sorted(map(str, [{"pool": "a", "at": 1, "top": 9}, {"pool": None, "at": 2, "top": None}]))

@@ -9,9 +9,10 @@ large are split into parts, which all learn of every poll.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType
@@ -22,6 +23,10 @@ from ..sources.landed import poll_trigger
 
 #: Parts that the rows of one repository are dealt into.
 PARTS = 8
+#: Parts that the rows of one user pool are dealt into, as pools are few and rows of users wide.
+POOL_PARTS = 32
+#: Polls of pools that a task sums up before it tells of them.
+POLLS_TOLD = 65_536
 
 
 def micros(delay: str) -> int:
@@ -33,11 +38,10 @@ def micros(delay: str) -> int:
 class Settling(StatefulProcessor):
     """Keeps rows (at, item, value) until they are ``delay`` behind the newest of the group, then hands them on in order.
 
-    ``item`` may be null: the row then says only that there was a poll.
+    ``item`` may be null: the row then says only that there was a poll. Groups are many and mostly small, so they go
+    by as plain tuples, and the state is asked as seldom as can be.
     """
 
-    columns = ["at", "item", "value"]
-
     def __init__(self, delay: int):
         self.delay = delay
 
@@ -46,25 +50,28 @@ class Settling(StatefulProcessor):
         self.newest = handle.getValueState("newest", "at bigint")
         self.begin(handle)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat([r[self.columns] for r in rows], ignore_index=True)
-        newest = int(frame["at"].max())
-        if self.newest.exists():
-            newest = max(newest, self.newest.get()[0])
-        if self.waiting.exists():
-            frame = pd.concat([pd.DataFrame(list(self.waiting.get()), columns=self.columns), frame], ignore_index=True)
-        ready = frame["at"] <= newest - self.delay
-        held = frame[~ready]
-        if len(held):
-            self.waiting.put([(int(a), *(None if pd.isna(x) else x for x in rest)) for a, *rest in held.itertuples(index=False)])
-        elif self.waiting.exists():
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        ready = [(r.at, r.item, r.value) for r in rows]
+        waited = self.waiting.exists()
+        if waited:
+            ready = [*map(tuple, self.waiting.get()), *ready]
+        if self.delay > 0:  # without a delay no row is ahead of the newest: none is held, and the newest need not be known
+            newest = max(at for at, _, _ in ready)
+            known = self.newest.get()
+            newest = max(newest, known[0]) if known else newest
+            held = [r for r in ready if r[0] > newest - self.delay]
+            ready = [r for r in ready if r[0] <= newest - self.delay]
+            self.newest.update((newest,))
+            if held:
+                self.waiting.put(held)
+        else:
+            held = []
+        if waited and not held:
             self.waiting.clear()
-        self.newest.update((newest,))
-        frame = frame[ready].sort_values("at", kind="stable", ignore_index=True)
-        if len(frame):
-            out = self.settle(frame.astype(object).where(frame.notna(), None))
-            if len(out):
-                yield pd.concat([pd.DataFrame([key] * len(out), columns=self.keys, index=out.index), out], axis=1)
+        if ready:
+            ready.sort(key=itemgetter(0))
+            for found in self.settle(ready):
+                yield self.output(*key, *found)
 
     def close(self) -> None:
         pass
@@ -74,101 +81,108 @@ class ValueChanges(Settling):
     """Rows whose value differs from that of the poll before."""
 
     keys = ["repo", "branch"]
+    output = Row(*keys, "at", "value", "previous", "late")
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "at bigint, value string")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        at, value = initialState.sort_values("at")[["at", "value"]].iloc[-1]
-        self.last.update((int(at), value))
-
-    def settle(self, frame: pd.DataFrame) -> pd.DataFrame:
-        known = self.last.get() if self.last.exists() else None
-        late = frame["at"] < known[0] if known else pd.Series(False, frame.index)
-        fresh = frame[~late]
-        previous = fresh["value"].shift(1)
-        changed = pd.Series(True, fresh.index)
-        if len(fresh):
-            if known:
-                previous.iloc[0] = known[1]
-            else:
-                changed.iloc[0] = False
-            changed &= (fresh["value"] != previous) & ~(fresh["value"].isna() & previous.isna())
-            self.last.update((int(fresh["at"].iloc[-1]), fresh["value"].iloc[-1]))
-        out = fresh[["at", "value"]].assign(previous=previous, late=False)[changed]
-        return pd.concat([out, frame.loc[late, ["at", "value"]].assign(previous=None, late=True)])
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        known = self.last.get()
+        if known is None or known[0] <= initialState.at:
+            self.last.update((initialState.at, initialState.value))
+
+    def settle(self, rows: list[tuple]) -> Iterator[tuple]:
+        known = last = self.last.get()
+        for at, _, value in rows:
+            if known is not None and at < known[0]:
+                yield at, value, None, True
+                continue
+            if last is not None and value != last[1]:
+                yield at, value, last[1], False
+            last = at, value
+        if last is not known:
+            self.last.update(last)
 
 
 class ItemChanges(Settling):
     """Rows of items that are new or whose value differs from their poll before; the group's first poll is baseline."""
 
     keys = ["repo", "part"]
+    output = Row(*keys, "item", "at", "value", "previous", "late")
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", "at bigint")
         self.last = handle.getMapState("last", "item string", "at bigint, value string")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.first.update((int(initialState["at"].min()),))
-        items = initialState[initialState["item"].notna()].sort_values("at").drop_duplicates("item", keep="last")
-        for at, item, value in items[self.columns].itertuples(index=False):
-            self.last.updateValue((item,), (int(at), value))
-
-    def settle(self, frame: pd.DataFrame) -> pd.DataFrame:
-        if not self.first.exists():
-            self.first.update((int(frame["at"].iloc[0]),))
-        first = self.first.get()[0]
-        frame = frame[frame["item"].notna()]
-        known = {item: self.last.getValue((item,)) for item in frame["item"].unique() if self.last.containsKey((item,))}
-        seen_at = frame["item"].map({item: v[0] for item, v in known.items()})
-        late = (frame["at"] < seen_at).fillna(False).astype(bool)
-        fresh = frame[~late]
-        previous = fresh.groupby("item")["value"].shift(1)
-        opening = ~fresh.duplicated("item")
-        previous = previous.astype(object).mask(opening, fresh["item"].map({item: v[1] for item, v in known.items()}))
-        new = opening & ~fresh["item"].isin(known)
-        same = (fresh["value"] == previous) | (fresh["value"].isna() & previous.isna())
-        changed = (new & (fresh["at"] > first)) | (~new & ~same)
-        for at, item, value in fresh.drop_duplicates("item", keep="last")[self.columns].itertuples(index=False):
-            self.last.updateValue((item,), (int(at), value))
-        columns = ["item", "at", "value"]
-        out = fresh[columns].assign(previous=previous.where(previous.notna(), None), late=False)[changed]
-        return pd.concat([out, frame.loc[late, columns].assign(previous=None, late=True)])
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        at, item, value = initialState.at, initialState.item, initialState.value
+        first = self.first.get()
+        if first is None or at < first[0]:
+            self.first.update((at,))
+        if item is not None:
+            known = self.last.getValue((item,))
+            if known is None or known[0] <= at:
+                self.last.updateValue((item,), (at, value))
+
+    def settle(self, rows: list[tuple]) -> Iterator[tuple]:
+        first = self.first.get()
+        if first is None:
+            first = rows[0][:1]
+            self.first.update(first)
+        known = {item: self.last.getValue((item,)) for item in {r[1] for r in rows} if item is not None}
+        last = dict(known)
+        for at, item, value in rows:
+            if item is None:
+                continue
+            if known[item] is not None and at < known[item][0]:
+                yield item, at, value, None, True
+                continue
+            if last[item] is None:
+                if at > first[0]:
+                    yield item, at, value, None, False
+            elif value != last[item][1]:
+                yield item, at, value, last[item][1], False
+            last[item] = at, value
+        for item, now in last.items():
+            if now is not known[item]:
+                self.last.updateValue((item,), now)
 
 
 class AboveMark(Settling):
-    """Rows whose ``item``, a time in microseconds, exceeds all of earlier polls."""
+    """Rows whose ``item``, a time in microseconds, exceeds all of earlier polls; a row without value only tells of a time."""
 
-    keys = ["pool"]
+    keys = ["pool", "part"]
+    output = Row(*keys, "at", "value", "mark", "late")
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
         # the last settled poll, the highest time before it (the mark of its rows), and the highest with it
         self.last = handle.getValueState("last", "at bigint, mark bigint, top bigint")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        mark = int(initialState["mark"].max())
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        known = self.last.get()
+        mark = initialState.mark if known is None else max(known[1], initialState.mark)
         self.last.update((None, mark, mark))
 
-    def settle(self, frame: pd.DataFrame) -> pd.DataFrame:
-        last_at, mark, top = self.last.get() if self.last.exists() else (None, None, None)
-        late = frame["at"] < last_at if last_at is not None else pd.Series(False, frame.index)
-        fresh = frame[~late]
-        times = pd.to_numeric(fresh["item"])
-        out = []
-        for at, rows in times.groupby(fresh["at"]):
+    def settle(self, rows: list[tuple]) -> Iterator[tuple]:
+        settled_at, mark, top = self.last.get() or (None, None, None)
+        last_at = settled_at
+        for at, item, value in rows:
+            if settled_at is not None and at < settled_at:
+                if value is not None:
+                    yield at, value, None, True
+                continue
             if at != last_at:
-                last_at, mark = int(at), top
-            if mark is not None:
-                over = rows.index[rows > mark]
-                out.append(fresh.loc[over, ["at", "value"]].assign(mark=mark, late=False))
-            if rows.notna().any():
-                top = int(rows.max()) if top is None else max(top, int(rows.max()))
+                last_at, mark = at, top
+            if item is not None:
+                time = int(item)
+                if value is not None and mark is not None and time > mark:
+                    yield at, value, mark, False
+                top = time if top is None else max(top, time)
         self.last.update((last_at, mark, top))
-        return pd.concat([*out, frame.loc[late, ["at", "value"]].assign(mark=None, late=True)])
 
 
 def _stateful(rows: DataFrame, processor: Settling, output: dict, prior: DataFrame | None) -> DataFrame:
-    return rows.groupBy(*processor.keys).transformWithStateInPandas(
+    return rows.groupBy(*processor.keys).transformWithState(
         statefulProcessor=processor, outputStructType=struct(output), outputMode="Append", timeMode="None",
         initialState=None if prior is None else prior.groupBy(*processor.keys))
 
@@ -222,19 +236,51 @@ def status_change_stream(
         F.col("previous").alias("previous_status"), "late")
 
 
-def modified_stream(users: DataFrame, delay: str = "0 seconds", prior: DataFrame | None = None) -> DataFrame:
+def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The highest time per poll of (pool, at, top), summed up over the batches of a task."""
+    held = []
+
+    def summed() -> pa.Table:
+        table = pa.Table.from_batches(held).group_by(["pool", "at"]).aggregate([("top", "max")])
+        return table.rename_columns({"top_max": "top"}).select(["pool", "at", "top"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) > POLLS_TOLD:
+            table = summed()
+            # what does not get smaller is told at once
+            if table.num_rows > POLLS_TOLD // 2:
+                yield from table.to_batches()
+                held = []
+            else:
+                held = table.combine_chunks().to_batches()
+    if held:
+        yield from summed().to_batches()
+
+
+def modified_stream(
+    users: DataFrame, delay: str = "0 seconds", prior: DataFrame | None = None, parts: int = POOL_PARTS,
+) -> DataFrame:
     """``modified_since`` on a stream: the columns of ``users``, ``mark`` and ``late``.
 
     A poll may come in parts; its mark is that of the polls before it. ``prior`` has the known (pool, mark).
-    Rows of one pool in one micro-batch meet in one task, in Arrow batches.
+    The rows of a pool are dealt into ``parts``, which all learn of every poll and of the highest time in it.
     """
     columns = [c for c in users.columns if c not in ("pool", "poll_ts")]
     form = {"timestampFormat": TIMESTAMPS}
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    modified = F.unix_micros("UserLastModifiedDate")
+    tops = users.select("pool", _at(), modified.alias("top")).mapInArrow(_tops, "pool string, at bigint, top bigint")
+    told = tops.select(
+        "pool", every, "at", F.col("top").cast("string").alias("item"), F.lit(None).cast("string").alias("value"))
+    value = F.to_json(F.struct(*columns), form)
     rows = users.select(
-        "pool", _at(), F.unix_micros("UserLastModifiedDate").cast("string").alias("item"),
-        F.to_json(F.struct(*columns), form).alias("value"))
-    known = None if prior is None else prior.select("pool", F.unix_micros("mark").alias("mark"))
-    found = _stateful(rows, AboveMark(micros(delay)), {"pool": STR, "at": LONG, "value": STR, "mark": LONG, "late": BOOL}, known)
+        "pool", F.pmod(F.xxhash64(value), F.lit(parts)).cast("int").alias("part"), _at(), modified.cast("string").alias("item"),
+        value.alias("value"))
+    known = None if prior is None else prior.groupBy("pool").agg(F.max(F.unix_micros("mark")).alias("mark")).select(
+        "pool", every, "mark")
+    found = _stateful(told.unionByName(rows), AboveMark(micros(delay)), {
+        "pool": STR, "part": IntegerType(), "at": LONG, "value": STR, "mark": LONG, "late": BOOL}, known)
     return found.select(
         "pool", F.timestamp_micros("at").alias("poll_ts"), F.from_json("value", users.select(*columns).schema, form).alias("_user"),
         F.timestamp_micros("mark").alias("mark"), "late").select("pool", "poll_ts", "_user.*", "mark", "late")
