@@ -3,6 +3,7 @@
 import random
 import time
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import Row, functions as F
@@ -12,6 +13,7 @@ from tideline.operators.messages import queue_counters
 from tideline.operators.metrics import as_metric_query, metric_stat
 from tideline.session import configure, new_dir
 from tideline.sources.landed import land, poll_trigger, read_landed, union_shards
+from tideline.streaming.acks import AckBuffer
 from tideline.streaming.changes import (
     ValueChanges, _tops, head_change_stream, modified_stream, settled, status_change_stream, stream_head_changes,
     stream_status_changes)
@@ -351,3 +353,15 @@ def test_tops_of_polls_stay_small(spark):
     batch = lambda i: pa.RecordBatch.from_pydict({"pool": ["a", None] * 40_000, "at": [1, 2] * 40_000, "top": [i, None] * 40_000})
     told = pa.Table.from_batches(_tops(iter([batch(i) for i in (3, 9, 4)]))).to_pylist()
     assert sorted(map(str, told)) == sorted(map(str, [{"pool": "a", "at": 1, "top": 9}, {"pool": None, "at": 2, "top": None}]))
+
+def test_full_requests_of_a_batch_come_in_one_frame():
+    buffer = AckBuffer(10, 3, True)
+    buffer.buffer, buffer.batches, buffer.handle = Asked(), Asked(), None
+    buffer.buffer.clear = lambda: None
+    told = []
+    buffer.buffer.updateValue = lambda k, v: told.append((k[0], v[0]))
+    buffer._restart_timer = told.append
+    frame = pd.DataFrame({"ts": pd.to_datetime(range(1005), unit="s"), "MessageId": [f"{i:04}" for i in range(1005)], "ReceiptHandle": [f"r{i}" for i in range(1005)]})
+    frames = list(buffer.handleInputRows(("q", 1), iter([frame.iloc[::-1]]), None))
+    assert len(frames) == 1 and len(frames[0]) == 1000 and frames[0]["batch"].value_counts().to_dict() == {i: 10 for i in range(100)}
+    assert told == [(f"{i}", f"r{i}") for i in range(1000, 1005)] + [1_000_000] and buffer.batches.kept == (100,)

@@ -27,12 +27,16 @@ class AckBuffer(StatefulProcessor):
         self.buffer = handle.getMapState("buffer", "MessageId string", "ReceiptHandle string")
         self.batches = handle.getValueState("batches", "n bigint")
 
-    def _flush(self, key, held: dict[str, str]) -> pd.DataFrame:
-        batch = self.batches.get()[0] if self.batches.exists() else 0
-        self.batches.update((batch + 1,))
+    def _flush(self, key, held: dict[str, str]) -> list[tuple]:
+        batch = self.sent
+        self.sent += 1
         rows = [(key[0], key[1], batch, message, receipt) for message, receipt in sorted(held.items())]
         held.clear()
-        return pd.DataFrame(rows, columns=OUTPUT.names)
+        return rows
+
+    def _resume(self) -> dict[str, str]:
+        self.sent = self.batches.get()[0] if self.batches.exists() else 0
+        return {k[0]: v[0] for k, v in self.buffer.iterator()} if self.buffer.exists() else {}
 
     def _restart_timer(self, start_ms: int) -> None:
         for old in list(self.handle.listTimers()):
@@ -40,16 +44,22 @@ class AckBuffer(StatefulProcessor):
         self.handle.registerTimer(start_ms + self.flush_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = {k[0]: v[0] for k, v in self.buffer.iterator()} if self.buffer.exists() else {}
-        start = None
+        """The requests that fill up, one frame for all of a batch of rows; the state is written once, at the end."""
+        held, start = self._resume(), None
         for frame in rows:
-            frame = frame.sort_values("ts", kind="stable")
-            for at, message, receipt in zip(frame["ts"], frame["MessageId"], frame["ReceiptHandle"]):
+            frame, full = frame.sort_values("ts", kind="stable"), []
+            # boxing a time costs more than all else of a row: only places are kept here
+            for place, (message, receipt) in enumerate(zip(frame["MessageId"], frame["ReceiptHandle"])):
                 if not held:
-                    start = at
+                    start = place
                 held[message] = receipt
                 if len(held) == self.size:
-                    yield self._flush(key, held)
+                    full += self._flush(key, held)
+            if isinstance(start, int):
+                start = frame["ts"].iloc[start]
+            if full:
+                yield pd.DataFrame(full, columns=OUTPUT.names)
+        self.batches.update((self.sent,))
         self.buffer.clear()
         for message, receipt in held.items():
             self.buffer.updateValue((message,), (receipt,))
@@ -58,10 +68,12 @@ class AckBuffer(StatefulProcessor):
             self._restart_timer(event_ms if self.event_time else timerValues.getCurrentProcessingTimeInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = {k[0]: v[0] for k, v in self.buffer.iterator()} if self.buffer.exists() else {}
+        held = self._resume()
         if held:
             self.buffer.clear()
-            yield self._flush(key, held)
+            rows = self._flush(key, held)
+            self.batches.update((self.sent,))
+            yield pd.DataFrame(rows, columns=OUTPUT.names)
 
     def close(self) -> None:
         pass
