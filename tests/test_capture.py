@@ -117,6 +117,16 @@ def test_diff_snapshots(spark):
     assert got == {("2", "CLOSED"), ("3", "CREATED")}
 
 
+def test_diff_snapshots_sorts_known_rows_once(spark):
+    old = spark.createDataFrame([("1", "A", 0), ("1", "B", 2), ("1", "C", 1), (None, "A", 0), ("2", None, 1)], "id string, status string, pos int")
+    new = spark.createDataFrame([("1", "B"), ("1", "C"), (None, "A"), ("2", None)], "id string, status string")
+    rows = diff_snapshots(old, new, "id", "status", ["pos"])
+    assert {tuple(r) for r in rows.collect()} == {("1", "C"), (None, "A")}
+    plan = diff_snapshots(old, new, "id", "status", ["pos"])._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("partial_max_by"):]
+    assert below.count("Sort [") == 1 and below.index("Sort [") < below.index("Exchange hashpartitioning")
+
+
 def test_merge_seen(spark):
     seen = spark.createDataFrame([("1", "A", 5), ("2", "A", 5)], "id string, status string, t int")
     emitted = spark.createDataFrame([("2", "B", 1), ("3", "C", 1), ("3", "D", 2)], "id string, status string, t int")

@@ -205,7 +205,9 @@ def diff_snapshots(
     are only in ``old`` give nothing.
     """
     last = F.max_by(status, F.struct(*order)) if order else F.max(status)
-    known = old.groupBy(F.col(key).alias("_key")).agg(F.struct(last.alias("status")).alias("_old"))
+    # texts and structs are aggregated by sorting: dealt by key first, rows are sorted once, not on both sides of a shuffle
+    dealt = old.select(F.col(key).alias("_key"), *dict.fromkeys([status, *order])).repartition("_key")
+    known = dealt.groupBy("_key").agg(F.struct(last.alias("status")).alias("_old"))
     changed = F.col("_old").isNull() | ~F.col(status).eqNullSafe(F.col("_old.status"))
     return new.join(known, F.col(key) == F.col("_key"), "left").where(changed).drop("_key", "_old")
 
