@@ -18,7 +18,7 @@ from tideline.streaming.changes import (
     ValueChanges, _tops, head_change_stream, modified_stream, settled, status_change_stream, stream_head_changes,
     stream_status_changes)
 from tideline.streaming.counters import LiveCounters, latest_counters, observe_counters, stream_queue_counters
-from tideline.streaming.windows import dedupe_redelivered, stream_log_windows, stream_metric_stat, undated
+from tideline.streaming.windows import dedupe_redelivered, entry_buckets, stream_log_windows, stream_metric_stat, undated, window_buckets
 
 HEADS = "repo string, branch string, s double, commit_id string"
 PRS = "repo string, pr_id string, s double, status string"
@@ -236,6 +236,24 @@ def test_log_windows_on_two_streams(spark):
     assert rows_of(got, *columns) == rows_of(want, *columns) and want.where("late").count() > 0
 
 
+def test_log_windows_that_are_short_and_many(spark):
+    t = 1_704_067_200_000
+    logs = [("g", "s", t + 37 * i, t + 37 * i + 1, str(i)) for i in range(600)]
+    spans = [("g", t + a, t + b) for a, b in [*((500 * i, 500 * i + 500) for i in range(46)), (0, 9_000), (3_000, 3_001), (18_700, 37_450), (18_700, 37_451)]]
+    left = Steps(spark, "log_group string, log_stream string, Timestamp bigint, IngestionTime bigint, Message string", at=False)
+    right = Steps(spark, "log_group string, start_ms bigint, end_ms bigint", at=False)
+    for i in range(2):
+        left.add(logs[i::2])
+        right.add(spans[i::2])
+    got = left.run(lambda s: stream_log_windows(s, right.stream(), longest="1 hour", delay="1 hour"))
+    want = log_capture(left.frame(logs), right.frame(spans))
+    assert rows_of(got, "Message", "start_ms", "end_ms", "late") == rows_of(want, "Message", "start_ms", "end_ms", "late")
+    # an entry is compared with few of the windows of its 300 s bucket
+    entries, windows = entry_buckets(left.frame(logs), 300), window_buckets(right.frame([("g", t + 500 * i, t + 500 * i + 500) for i in range(600)]), 300)
+    on = (F.col("log_group") == F.col("_group")) & (F.col("_width") == F.col("_wide")) & (F.col("_bucket") == F.col("_span"))
+    assert entries.join(windows, on).groupBy("Message").count().agg(F.max("count")).first()[0] <= 40
+
+
 def counter_rows(spark):
     rng = random.Random(2)
     measures = ["message_enqueued_process_count", "message_dequeued_delete_count", "queue_capacity_process", "queue_capacity_delete"]

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from math import gcd
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -17,6 +17,10 @@ from ..schemas import BOOL, DOUBLE, LONG, STR, struct
 from ..sinks.events import run_batches
 
 
+#: Parts of a bucket; windows no longer than one of them meet log entries in buckets of that size.
+FINER = 16
+
+
 class Periods(StatefulProcessor):
     """Adds the base windows of a query up to its own periods, and gives a period when the watermark passes its end.
 
@@ -123,6 +127,31 @@ def stream_log_capture(logs: DataFrame, interval_seconds: int, lateness_ms: int
         "late", F.col("IngestionTime") > F.col("end_ms") + lateness_ms)
 
 
+def _widths(bucket_seconds: int) -> tuple[int, int]:
+    return bucket_seconds * 1000, max(bucket_seconds * 1000 // FINER, 1)
+
+
+def _bucket(ms: Column, width: str) -> Column:
+    return F.floor(ms / F.col(width)).cast("bigint")
+
+
+def entry_buckets(logs: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Entries with their time, once in a bucket of either width."""
+    entries = logs.withColumns({
+        "_at": F.timestamp_millis("Timestamp"), "_width": F.explode(F.array(*map(F.lit, _widths(bucket_seconds))))})
+    return entries.withColumn("_bucket", _bucket(F.col("Timestamp"), "_width"))
+
+
+def window_buckets(windows: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Windows in every bucket they touch, of the smaller width if they are no longer than that."""
+    whole, fine = _widths(bucket_seconds)
+    spans = windows.where("start_ms < end_ms").select(
+        F.col("log_group").alias("_group"), "start_ms", "end_ms", F.timestamp_millis("start_ms").alias("_from"),
+        F.when(F.col("end_ms") - F.col("start_ms") > fine, whole).otherwise(fine).alias("_wide"))
+    touched = F.sequence(_bucket(F.col("start_ms"), "_wide"), _bucket(F.col("end_ms") - 1, "_wide"))
+    return spans.withColumn("_span", F.explode(touched))
+
+
 def stream_log_windows(
     logs: DataFrame, windows: DataFrame, longest: str = "1 day", delay: str = "1 hour", bucket_seconds: int = 300,
     lateness_ms: int = 0,
@@ -130,22 +159,18 @@ def stream_log_windows(
     """``log_capture`` on two streams: entries, and poll windows (log_group, start_ms, end_ms) of any length up to ``longest``.
 
     Either side may come first, by ``delay`` at most. Both meet on (group, time bucket), so a busy group is spread, and
-    both leave the state when the watermarks of the two have passed what can still meet them. ``late`` is set on entries
-    that were ingested after their window closed.
+    both leave the state when the watermarks of the two have passed what can still meet them. Windows of up to a
+    ``FINER``th of a bucket meet entries in buckets of that size: however many of them there are, an entry meets few that
+    it is not inside. ``late`` is set on entries that were ingested after their window closed.
     """
-    bucket_ms = bucket_seconds * 1000
-    bucket = lambda ms: F.floor(ms / bucket_ms).cast("bigint")
-    entries = logs.withColumns({"_at": F.timestamp_millis("Timestamp"), "_bucket": bucket(F.col("Timestamp"))})
-    spans = windows.where("start_ms < end_ms").select(
-        F.col("log_group").alias("_group"), "start_ms", "end_ms", F.timestamp_millis("start_ms").alias("_from"),
-        F.explode(F.sequence(bucket(F.col("start_ms")), bucket(F.col("end_ms") - 1))).alias("_span"))
+    entries, spans = entry_buckets(logs, bucket_seconds), window_buckets(windows, bucket_seconds)
     met = (
-        (F.col("log_group") == F.col("_group")) & (F.col("_bucket") == F.col("_span"))
+        (F.col("log_group") == F.col("_group")) & (F.col("_width") == F.col("_wide")) & (F.col("_bucket") == F.col("_span"))
         & (F.col("Timestamp") < F.col("end_ms")) & (F.col("_at") >= F.col("_from"))
         & (F.col("_at") < F.col("_from") + F.expr(f"interval {longest}")))
     joined = entries.withWatermark("_at", delay).join(spans.withWatermark("_from", delay), met)
     late = F.col("IngestionTime") > F.col("end_ms") + lateness_ms
-    return joined.withColumn("late", late).drop("_at", "_bucket", "_group", "_from", "_span")
+    return joined.withColumn("late", late).drop("_at", "_width", "_bucket", "_group", "_from", "_wide", "_span")
 
 
 def undated(events: DataFrame, time: str = "time") -> DataFrame:
