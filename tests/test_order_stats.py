@@ -8,6 +8,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.operators import metrics
 from tideline.operators.metrics import as_metric_query, metric_failures, metric_rollups, metric_stat
 from tideline.operators.order_stats import stat_spec
 from tideline.sources.landed import union_shards
@@ -114,3 +115,15 @@ def test_names(spark):
     got = {(r.Id, r.Messages[0].Code, r.Messages[0].Value) for r in metric_failures(queries.unionByName(more)).collect()}
     assert got == {("Bad name", "InvalidName", "Bad name"), ("x", "UnknownStatistic", "TM(5:5)"), ("y", "InvalidPeriod", "0"),
                    ("1st", "InvalidName", "1st")}
+
+
+def test_statistics_are_read_once_per_query(spark):
+    points = spark.createDataFrame(
+        [("N", "m", {}, None, float(i)) for i in range(50)], "namespace string, metric string, dimensions map<string,string>, unit string, value double")
+    points = points.withColumn("ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("value").cast("long")))
+    queries = union_shards(*[as_metric_query(spark, id, "N", "m", 60, id) for id in ("tm50", "PR(10:30)", "p50", "Sum")])
+    got = {r.id: r.value for r in metric_stat(points, queries).collect()}
+    assert got == {"tm50": 12.0, "PR(10:30)": 40.0, "p50": 24.5, "Sum": 1225.0}
+    # above the join with the points, no pattern is looked for in the name of a statistic
+    plan = metrics._groups_of_points(points, queries)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not any(word in plan[:plan.index("Join")].lower() for word in ("rlike", "regexp"))

@@ -61,7 +61,8 @@ def _answering(rows: DataFrame, queries: DataFrame, start: Column) -> DataFrame:
     """``rows`` of series joined to the queries they answer, with id, stat and ``ts``, the start of the period of ``start``."""
     wanted = queries.select(
         F.col("id").alias("id"), F.col("namespace").alias("_ns"), F.col("metric").alias("_metric"),
-        F.map_entries("dimensions").alias("_dims"), F.col("unit").alias("_unit"), "period", "stat")
+        F.map_entries("dimensions").alias("_dims"), F.col("unit").alias("_unit"), "period", "stat",
+        stat_spec(F.col("stat")).alias("spec"))  # once per query: its patterns cost more than the rest of a row
     has_all = F.size(F.array_except("_dims", F.map_entries("dimensions"))) == 0
     in_dims = F.col("_dims").isNull() | (F.size("_dims") == 0) | has_all
     in_unit = F.col("_unit").isNull() | (F.col("unit") == F.col("_unit"))
@@ -71,14 +72,14 @@ def _answering(rows: DataFrame, queries: DataFrame, start: Column) -> DataFrame:
 
 
 def match_points(points: DataFrame, queries: DataFrame) -> DataFrame:
-    """Points joined to the queries they answer: ``(id, stat, period, ts, value, point_ts, spread)``.
+    """Points joined to the queries they answer: ``(id, stat, spec, period, ts, value, point_ts, spread)``.
 
-    ``ts`` is the start of the point's period, ``point_ts`` its own time.
+    ``ts`` is the start of the point's period, ``point_ts`` its own time, ``spec`` what the statistic asks for.
     """
     rows = points.select("namespace", "metric", "dimensions", "unit", F.col("ts").alias("point_ts"), "value")
     return (
         _answering(rows.where("value IS NOT NULL"), _metric_queries(queries), F.col("point_ts"))
-        .select("id", "stat", "period", "ts", "value", "point_ts", F.pmod(F.xxhash64("point_ts"), F.lit(SPREAD)).alias("spread")))
+        .select("id", "stat", "spec", "period", "ts", "value", "point_ts", F.pmod(F.xxhash64("point_ts"), F.lit(SPREAD)).alias("spread")))
 
 
 def simple_stat(stat: Column, value: str = "value") -> Column:
@@ -105,7 +106,7 @@ def metric_rollups(points: DataFrame, seconds: int = ROLLUP_SECONDS) -> DataFram
 
 def _groups_of_points(points: DataFrame, queries: DataFrame) -> DataFrame:
     """(id, ts, stat, spec) with the aggregates of the points: one scan for all kinds of statistics."""
-    matched = match_points(points, queries).withColumn("spec", stat_spec(F.col("stat")))
+    matched = match_points(points, queries)
     low, high, value = F.col("spec")["low"], F.col("spec")["high"], F.col("value")
     held = in_range(value, low, high)
     by_value = ~F.col("spec")["share"]
@@ -119,7 +120,7 @@ def _groups_of_points(points: DataFrame, queries: DataFrame) -> DataFrame:
 def _groups_of_rollups(rollups: DataFrame, queries: DataFrame) -> DataFrame:
     """The same from roll-ups, for statistics that don't ask for single values."""
     rows = rollups.withColumnRenamed("ts", "_hour")
-    matched = _answering(rows, queries, F.col("_hour")).withColumn("spec", stat_spec(F.col("stat")))
+    matched = _answering(rows, queries, F.col("_hour"))
     none = F.lit(None).cast("double")
     return matched.groupBy("id", "ts", "stat", "spec").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("least").alias("least"), F.max("most").alias("most"),
