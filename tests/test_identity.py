@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tideline.operators.envelope import events_from_logs, events_from_messages
 from tideline.operators.identity import sync_datasets
 from tideline.operators.metrics import exact_percentile
+from tideline.plans import demo_events  # noqa: F401
+from tideline.plans.registry import QUERIES
 from tideline.schemas import LANDED, SYNC_RECORD
 from tideline.session import new_dir
 from tideline.sinks.events import read_events, write_events
@@ -85,3 +87,20 @@ def test_large_and_small_datasets_have_the_same_parts(spark):
     identities = spark.createDataFrame([("i0",), ("i1",), ("i3",), ("i1",)], "IdentityId string")
     found = [sorted(map(str, sync_datasets(identities, datasets, records, part_records=8, spread=4, together=n).collect())) for n in (8, 45, 1000)]
     assert found[0] == found[1] == found[2] and len(found[0]) > 80
+
+
+def test_sync_query_parses_an_event_once(spark, tmp_path):
+    tables = {
+        "customer": spark.range(1, 3).selectExpr("id AS c_custkey"),
+        "orders": spark.range(1, 5).selectExpr(
+            "id AS o_orderkey", "id % 3 AS o_custkey", "DATE'2024-01-02' AS o_orderdate", "'1-URGENT' AS o_orderpriority", "1.5D AS o_totalprice"),
+        "lineitem": spark.range(6).selectExpr(
+            "id % 2 + 1 AS l_orderkey", "CAST(id AS INT) AS l_linenumber", "id AS l_partkey", "id AS l_suppkey", "2D AS l_quantity",
+            "'A' AS l_returnflag", "DATE'2024-01-03' AS l_shipdate")}
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    df = QUERIES["events_from_sync"](spark, str(tmp_path))
+    got = {(r.subject, r.trigger, r.region, r.pool, r.n) for r in df.collect()}
+    assert got == {(f"order-{k}", "SyncTrigger", "us-east-1", "us-east-1:pool", n) for k, n in ((1, 3), (2, 3), (4, 0))}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") + plan.count("from_json(") == 1

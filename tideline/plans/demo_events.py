@@ -322,10 +322,11 @@ def _(spark, sf):
     FROM datasets""")
 def _(spark, sf):
     events = events_from_sync(nested_datasets(spark, sf), shapes.IDENTITY_ARN)
-    listed = F.from_json(F.get_json_object("data", "$.DatasetRecords"), "array<struct<Key:string>>")
-    return events.select(
-        "id", "source", "type", "subject", micros(), member("$.EventType", "trigger"), member("$.Region", "region"),
-        member("$.IdentityPoolID", "pool"), F.size(listed).cast("bigint").alias("n"))
+    # the data is parsed once for all members that are looked at
+    looked = F.from_json("data", "EventType string, Region string, IdentityPoolID string, DatasetRecords array<struct<Key:string>>")
+    return events.withColumn("_d", looked).select(
+        "id", "source", "type", "subject", micros(), F.col("_d.EventType").alias("trigger"), F.col("_d.Region").alias("region"),
+        F.col("_d.IdentityPoolID").alias("pool"), F.size("_d.DatasetRecords").cast("bigint").alias("n"))
 
 
 BY_IDENTITY = """
