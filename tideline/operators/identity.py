@@ -26,24 +26,27 @@ def sync_datasets(
     records of a dataset of more than ``together``, ``spread`` tasks share them; the records of
     all others are shuffled once. An identity without datasets gives nothing.
     """
-    key = ["IdentityId", "DatasetName"]
+    # names of a pool begin alike: rows are counted, sorted and joined by a hash of them first
+    key = ["_h", "IdentityId", "DatasetName"]
+    hashed = F.xxhash64("IdentityId", "DatasetName")
     fields = [f.name for f in SYNC_RECORD]
     record = F.struct("Key", *[f for f in fields if f != "Key"])
     # a record without identity or dataset belongs to none
-    records = records.where("IdentityId IS NOT NULL AND DatasetName IS NOT NULL")
+    records = records.where("IdentityId IS NOT NULL AND DatasetName IS NOT NULL").withColumn("_h", hashed)
     rows = records.select(
         *key, F.pmod(F.xxhash64("Key"), F.lit(spread)).cast("int").alias("_spread"), record.alias("_r"))
-    # datasets that one task should not order alone; sums over their keys tell which
-    counts = records.groupBy(*key).agg(F.count("*").alias("_all"))
-    large = counts.where(F.col("_all") > max(together, part_records))
-    # two joins of the same rows, which share one shuffle; semi and anti joins would be moved to different places below it
-    few = rows.join(large, key, "left").where("_all IS NULL").drop("_all")
-    many = rows.join(large, key).drop("_all")
+    # datasets that one task should not order alone; either way gives a dataset the same parts, so a hash shared by two does no harm
+    counts = records.groupBy("_h").agg(F.count("*").alias("_all"))
+    most = max(together, part_records)
+    # of n records at most n / most such hashes; without any, adaptive execution drops what is for them
+    large = F.broadcast(counts.where(F.col("_all") > most).select("_h"))
+    few, many = rows.join(large, "_h", "left_anti"), rows.join(large, "_h", "left_semi")
     nested = _listed(few, key, part_records).unionByName(_numbered(many, key, part_records))
     known = datasets.join(identities.select("IdentityId").distinct(), "IdentityId", "left_semi")
     lists = F.transform("_r", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
     # every dataset has a first part, with or without records; a dataset without a name has no records to meet
-    found = known.where("DatasetName IS NOT NULL").join(nested.withColumn("DatasetRecords", lists).drop("_r"), key, "left")
+    named = known.where("DatasetName IS NOT NULL").withColumn("_h", hashed)
+    found = named.join(nested.withColumn("DatasetRecords", lists).drop("_r"), key, "left").drop("_h")
     empty = F.array().cast(found.schema["DatasetRecords"].dataType)
     return found.withColumns({
         "part": F.coalesce("part", F.lit(0).cast("bigint")), "parts": F.coalesce("parts", F.lit(1).cast("bigint")),
@@ -52,7 +55,9 @@ def sync_datasets(
 
 def _listed(rows: DataFrame, key: list[str], part_records: int) -> DataFrame:
     """Parts of datasets that are small enough to be a list each: (key, part, parts, _r). Their rows are shuffled once."""
-    lists = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_spread", "_r"))).alias("_l"))
+    every = F.collect_list(F.struct("_spread", "_r"))
+    # the order by spread tells the parts; a single part has its own below
+    lists = rows.groupBy(*key).agg(F.when(F.count("*") > part_records, F.sort_array(every)).otherwise(every).alias("_l"))
     count = F.ceil(F.size("_l") / part_records).cast("bigint")
     cut = F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), lambda p: F.struct(
         p.alias("part"), F.slice("_l", (p * part_records + 1).cast("int"), part_records)["_r"].alias("_r")))

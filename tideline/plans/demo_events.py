@@ -300,7 +300,7 @@ SYNC = """
 def record_list(records):
     """Records as text, in the order of key and value."""
     pairs = F.transform(records, lambda r: F.struct(r["Key"].alias("k"), r["Value"].alias("v")))
-    return F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(p["k"], F.lit("="), p["v"])), ",")
+    return F.array_join(F.transform(F.sort_array(pairs), lambda p: F.concat(p["k"], F.lit("="), p["v"])), ",")
 
 
 def nested_datasets(spark, sf) -> DataFrame:
