@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import stored
+from .util import released, stored
 
 #: A bucket up to this size is compared pair by pair in one vector pass, a larger one row by row.
 SMALL = 48
@@ -142,7 +142,7 @@ def hamming_links(prints: DataFrame, segments: Sequence[tuple[int, int, int]], l
     rows = prints.select(F.explode(F.flatten(F.array(*keys))).alias("key"), *words)
     columns = link_columns(len(words))
     links = rows.repartition("key").sortWithinPartitions("key").mapInArrow(
-        link_sorted(len(words), limit), ", ".join(f"{c} long" for c in columns))
+        released(link_sorted(len(words), limit)), ", ".join(f"{c} long" for c in columns))
     return links.select(node_of(columns[:len(words)]).alias("a"), node_of(columns[len(words):]).alias("b"))
 
 

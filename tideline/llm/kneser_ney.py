@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .postings import HEADER, partial_sums, postings, sums_by_document, tasks_per_shard, unpack_numbers, unpacked, whole
-from .util import located, locator, rows_at, stored, text_of
+from .util import located, locator, released, rows_at, stored, text_of
 
 #: A character takes 21 bits of a token; the start and end of a text count as characters.
 BITS = 21
@@ -94,7 +94,7 @@ def gram_counts(table: DataFrame) -> DataFrame:
                     ["lang", "shard", "token", "c"])
 
     rows = table.where(F.col("shard") != HEADER).select("lang", "shard", "n", "tokens", "counts", "docs", "freqs", "flags")
-    return rows.mapInArrow(run, "lang string, shard int, token long, c long").groupBy("lang", "token", "shard").agg(
+    return rows.mapInArrow(released(run), "lang string, shard int, token long, c long").groupBy("lang", "token", "shard").agg(
         F.sum("c").alias("c"))
 
 
@@ -172,6 +172,7 @@ def document_costs(table: DataFrame, costs: DataFrame) -> DataFrame:
                 at = np.searchsorted(token, unpack_numbers(row["tokens"]))
                 out.append(partial_sums(row, cost[at], unpacked(row["counts"], row["n"])))
         columns = zip(*out) if out else ([], [], [])
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.binary()))],
                         ["batch", "docs", "sums"])
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tokens import encoder, slices
-from .util import stored, text_of
+from .util import released, stored, text_of
 
 CAPACITY = 4096
 #: Lengths are classed for the fit; patterns hold up to DEPTH classes that fill a sequence.
@@ -47,7 +47,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, w
                 yield pa.RecordBatch.from_arrays(arrays[:n], names[:n])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(released(run), schema)
 
 
 def patterns(classes: int, depth: int) -> list[tuple[int, ...]]:
@@ -223,7 +223,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     ranked = ranked_by_length(pieces)
     fields = [f for f in ranked.schema.fields if f.name != "slot"]
-    return ranked.mapInArrow(run, T.StructType(
+    return ranked.mapInArrow(released(run), T.StructType(
         [*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import slices
-from .util import stored
+from .util import released, stored
 
 SCHEMA = ("batch string, shard int, lang string, n int, tokens binary, counts binary, docs binary, freqs binary, "
           "trusted binary, ids array<long>, sizes array<long>, flags array<boolean>")
@@ -115,7 +115,7 @@ def postings(rows: DataFrame, extract: Extract, shards: int) -> DataFrame:
                     at, number = at + len(texts), number + 1
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), TYPES)], NAMES)
 
-    return stored(rows.select("doc_id", "text", "lang", "trusted").mapInArrow(run, SCHEMA), "postings")
+    return stored(rows.select("doc_id", "text", "lang", "trusted").mapInArrow(released(run), SCHEMA), "postings")
 
 
 def partial_sums(row: dict, values: np.ndarray, counts: np.ndarray) -> tuple[str, bytes, bytes]:
@@ -142,6 +142,7 @@ def sums_by_document(table: DataFrame, partials: DataFrame) -> DataFrame:
             if r["docs"]:
                 total[np.frombuffer(r["docs"], "<u2")] += np.frombuffer(r["sums"], "<f8")
         n = len(total)
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "doc_id": pa.array(head["ids"], pa.int64()), "lang": pa.array([head["lang"]] * n, pa.string()),
             "size": pa.array(head["sizes"], pa.int64()), "trusted": pa.array(head["flags"], pa.bool_()), "total": total})

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .hamming import components, hamming_links, node_of
 from .shingles import remixed, shingle_hashes
-from .util import located, locator, rows_at, stored, text_of
+from .util import located, locator, released, rows_at, stored, text_of
 
 #: 64 bits in two halves: no pair of at most 4 (indeed 5) differing bits is lost.
 HALVES = ((0, 0, 32), (0, 32, 32))
@@ -48,7 +48,7 @@ def fingerprints(rows: DataFrame, size: int, words: int = 1, distinct: bool = Fa
     schema = rows.drop("text").schema
     for j in range(words):
         schema = schema.add(f"p{j}", "long")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def print_components(rows: DataFrame, segments, limit: int) -> DataFrame:
