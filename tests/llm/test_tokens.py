@@ -1,5 +1,6 @@
 """Token counts, stores and packing against the tokenizers themselves."""
 
+import json
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import pytest
 from tideline.llm.packing import nnls, pack_documents, packed_sequences, patterns, plan
 from tideline.llm.token_counts import piece_model, token_counts
 from tideline.llm.token_store import PerfectHash, fetch, write_store
-from tideline.llm.tokens import chunk_lists, encoder, slices
+from tideline.llm.tokens import Encoder, Memory, Rows, chunk_lists, encoder, slices, word_table
 from tideline.session import new_dir
 
 from samples import awkward_rows
@@ -38,6 +39,64 @@ def test_ids_are_those_of_whole_texts(path):
             assert [ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:])] == [w.ids for w in want]
 
 
+class Counting:
+    """A tokenizer that says how many bytes the whole of it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_are_spelt_for_the_model_alone(path):
+    letters = [c for c in map(chr, range(192, 256)) if c not in "×÷"]
+    words = [f"{a}{b}{c}" for a in ["x", "QU", *letters] for b in letters for c in ("", "heit")]
+    odd = ["e\u0301t", "µm", "ªb", "Ÿ", "ſt", "don't", "'re", "x'll,", "a=\u0338", "b|", "<|", "x<|endoftext|>y", "a1", "×", "A\u030a"]
+    texts = [" ".join(words[i::16]) for i in range(16)] + [
+        "\n".join(w + e for w in words[::97]) for e in ["", ",", "!?", "###", '("', "_[", "..."]] + [" ".join(odd), "\n".join(odd)]
+    encode = Encoder(path, "<|endoftext|>")
+    encode.tokenizer = Counting(encode.tokenizer)
+    ids, ends = encode(pa.array(texts[:16]))
+    assert encode.tokenizer.given < 1000  # of 142,553
+    for some in (texts[:16], texts, texts[16:]):
+        ids, ends = encode(pa.array(some))
+        want = encode.alone.encode_batch(some, add_special_tokens=False)
+        assert [ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:])] == [w.ids for w in want]
+
+
+def test_other_vocabularies_are_given_whole(tmp_path):
+    definition = json.loads(open(BYTES).read())
+    definition["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "v.json").write_text(json.dumps(definition))
+    assert word_table(definition) is None and Encoder(str(tmp_path / "v.json"), "<|endoftext|>").spelling is None
+    named = json.loads(open(BYTES).read())
+    named["added_tokens"].append(named["added_tokens"][0] | {"content": "Pad"})
+    assert word_table(named) is None
+
+
+def test_memory_keeps_what_was_asked_for_last():
+    learned = []
+
+    def learn(keys):
+        learned.extend(keys.to_pylist())
+        return [Rows.of([[len(k)] * (int(k) % 3) for k in keys.to_pylist()])]
+
+    memory = Memory(learn, most=10)
+    for keys in (range(8), range(4), range(20, 24), range(30, 34), range(4), [], range(40, 80), range(40, 80)):
+        names = [str(k) for k in keys]
+        place, (rows,) = memory(pa.array(names, pa.string()))
+        got = rows.take(place)
+        assert [got.ids[s:e].tolist() for s, e in zip(got.at[:-1], got.at[1:])] == [[len(k)] * (int(k) % 3) for k in names]
+        assert len(memory.keys) == len(memory.asked) == len(memory.sides[0].at) - 1 <= 10
+    assert learned.count("0") == learned.count("20") == 1 == learned.count("40") and learned.count("1") == learned.count("79") == 2
+
+
 def test_chunks_and_slices():
     texts = pa.array(ODD)
     assert ["".join(c) for c in chunk_lists(texts).to_pylist()] == [t if "\x1e" in t else t for t in ODD]

@@ -12,7 +12,6 @@ import hashlib
 import pickle
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from .postings import small, whole
 from .token_counts import piece_model
 from .token_store import PerfectHash
-from .tokens import MARK, SPACE, Memory, chunk_lists, encoder, packed, slices
+from .tokens import MARK, SPACE, Memory, Rows, chunk_lists, encoder, slices
 from .util import located, locator, stored, text_of
 
 #: Cut before a blank or line end after something else than white space: neither tokenizer has a token across.
@@ -63,12 +62,6 @@ class Side:
         self.lengths = np.array([len(b) for b in table], np.int64)
         self.names = pa.array([str(i) for i in range(len(table))])
 
-    @staticmethod
-    def laid_out(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the offset of each blob in them."""
-        ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
-        return ids, np.concatenate(([0], np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2)))
-
 
 class Aligned(NamedTuple):
     """Per chunk: whether its bytes come out differently, numbers of tokens, groups and links, and the links themselves."""
@@ -86,22 +79,21 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
         self.encoder, self.model = encoder(path_a, ordinary=True), piece_model(path_b)
         self.a, self.b = Side(byte_level_bytes(path_a)), Side(piece_bytes(path_b))
-        self.blank = packed([self.model.piece_to_id("▁")])
-        self.recall = Memory(lambda chunks: zip(self.encoder.learn(chunks), self.pieces(chunks)))
+        self.blank = [self.model.piece_to_id("▁")]
+        self.recall = Memory(lambda chunks: [self.encoder.learn(chunks), self.pieces(chunks)], sides=2)
 
-    def pieces(self, chunks: list[str]) -> list[bytes]:
+    def pieces(self, chunks: pa.Array) -> Rows:
         """The model puts a blank in front: a chunk's own goes before, that of a chunk with a line end goes after."""
-        found = self.model.encode([c[1:] if c[:1] == " " else c for c in chunks], num_threads=1)
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        data = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1]) if len(ends) else 0).tobytes()
-        blobs = [data[s:e] for s, e in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]
-        return [b if c[:1] == " " and c != " " else self.blank if c == " " else b[4:] if c[:1] == "\n" else b for c, b in zip(chunks, blobs)]
+        texts = chunks.to_numpy(zero_copy_only=False).tolist()
+        found = self.model.encode([c[1:] if c[:1] == " " else c for c in texts], num_threads=1)
+        return Rows.of([self.blank if c == " " else f[1:] if c[:1] == "\n" else f for c, f in zip(texts, found)])
 
     def align(self, chunks: pa.Array, texts: list[str], strings: bool) -> Aligned:
         """All ``chunks``, and behind them ``texts``, encoded whole."""
-        known = self.recall(chunks.to_pylist())
-        known += [(packed(self.encoder.alone.encode(t, add_special_tokens=False).ids), packed(self.model.encode(t[1:]))) for t in texts]
-        (a, a_at), (b, b_at) = (Side.laid_out([k[i] for k in known]) for i in (0, 1))
+        place, sides = self.recall(chunks)
+        more = [Rows.of([self.encoder.alone.encode(t, add_special_tokens=False).ids for t in texts]), Rows.of(self.model.encode([t[1:] for t in texts]))]
+        (a, a_at), (b, b_at) = (side.take(place).then(m) for side, m in zip(sides, more))
+        a, b = a.astype(np.int64), b.astype(np.int64)
         chunks = pa.concat_arrays([chunks, pa.array(texts, chunks.type)]).cast(pa.large_binary())
         odd = self.differs(self.a, a, a_at, chunks) | self.differs(self.b, b, b_at, chunks)
         if odd.any():

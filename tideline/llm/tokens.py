@@ -7,8 +7,12 @@ has not met are given to the tokenizer. The ids are those of encoding the text a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import json
+import re
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +21,26 @@ import pyarrow.compute as pc
 MARK = "\x1e"
 SPACE = "[\t-\r \u0085   -     　]"
 LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
-#: Text bytes that are cut and numbered at a time, and chunks of a generation that a worker remembers.
+#: A word alone, behind a line end or before signs (ASCII, none of which is in a contraction or a special token), and LETTER's letters.
+SIGN = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+WORD = f"\\A(?P<line>\\n?)(?P<word> ?{LETTER}+)(?P<sign>[{re.escape(SIGN)}]*)\\z"
+LETTERS = [c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº"]
+#: Normalizers and pre-tokenizers that take such a word as one piece, and what is before or behind it as another.
+SIGNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+WORD_FORMS = [
+    (None, BYTE_LEVEL | {"use_regex": True}),
+    ({"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+     {"type": "Sequence", "pretokenizers": [
+         {"type": "Split", "pattern": {"Regex": SIGNS}, "behavior": "Removed", "invert": True}, BYTE_LEVEL | {"use_regex": False}]})]
+#: Bytes that a byte-level vocabulary writes as other characters, from chr(256) on.
+OTHER_BYTES = [*range(33), *range(127, 161), 173]
+#: Text bytes that are cut and numbered at a time, and chunks that a worker remembers, by number and bytes.
 SLICE_BYTES = 8 << 20
 SLICE_ROWS = 50_000
-REMEMBERED = 150_000
+REMEMBERED = 600_000
+MEMORY_BYTES = 48 << 20
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
@@ -64,38 +84,80 @@ def chunk_lists(texts: pa.Array, punctuation: bool = True, space: str = SPACE, c
     return pa.concat_arrays([lists, whole]).take(pa.array(order))
 
 
-def packed(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+class Rows(NamedTuple):
+    """Ids of many strings in a row, and the offset of each string in them (one more than strings)."""
+
+    ids: np.ndarray
+    at: np.ndarray
+
+    @staticmethod
+    def of(lists: list[list[int]]) -> Rows:
+        at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))))
+        return Rows(np.fromiter(chain.from_iterable(lists), "<u4", int(at[-1])), at)
+
+    def then(self, more: Rows) -> Rows:
+        return Rows(np.concatenate([self.ids, more.ids]), np.concatenate([self.at, self.at[-1] + more.at[1:]]))
+
+    def take(self, rows: np.ndarray) -> Rows:
+        starts, n = self.at[rows], np.diff(self.at)[rows]
+        at = np.concatenate(([0], np.cumsum(n)))
+        return Rows(self.ids[np.repeat(starts - at[:-1], n) + np.arange(at[-1])], at)
+
+
+NO_ROWS = Rows(np.empty(0, "<u4"), np.zeros(1, np.int64))
 
 
 class Memory:
-    """What is known of keys, in two generations: past ``most`` entries those not asked for in the last one go."""
-
-    def __init__(self, learn: Callable[[list[str]], Iterable], most: int = REMEMBERED) -> None:
-        self.learn, self.most = learn, most
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def __call__(self, keys: list[str]) -> list:
-        """The values of distinct ``keys``; ``learn`` gives those of keys that are not known."""
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        new = []
-        for key in keys:
-            if key not in young:
-                if key in old:
-                    young[key] = old[key]
-                else:
-                    new.append(key)
-        young.update(zip(new, self.learn(new)))
-        return [young[key] for key in keys]
+    """What is known of strings, held in arrays: past ``most`` entries (or MEMORY_BYTES) the half asked for last stays."""
+
+    def __init__(self, learn: Callable[[pa.Array], Sequence[Rows]], sides: int = 1, most: int = REMEMBERED) -> None:
+        self.learn, self.most, self.calls = learn, most, 0
+        self.keys, self.asked, self.sides = pa.array([], pa.large_string()), np.empty(0, np.int64), [NO_ROWS] * sides
+
+    def __call__(self, keys: pa.Array) -> tuple[np.ndarray, list[Rows]]:
+        """Where each of the distinct ``keys`` is in the rows of every side; ``learn`` gives those of keys that are not known."""
+        keys = keys.cast(pa.large_string())
+        place = pc.index_in(keys, value_set=self.keys)
+        new = keys.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.keys) + np.arange(len(new))
+        if len(new):
+            self.sides = [old.then(found) for old, found in zip(self.sides, self.learn(new))]
+            self.keys = pa.concat_arrays([self.keys, new])
+            self.asked = np.concatenate([self.asked, np.zeros(len(new), np.int64)])
+        self.calls += 1
+        self.asked[place] = self.calls
+        sides = self.sides
+        if len(self.keys) > self.most or self.keys.nbytes > MEMORY_BYTES:
+            self.keep(np.sort(np.argsort(-self.asked, kind="stable")[:self.most // 2]))
+        return place, sides
+
+    def keep(self, rows: np.ndarray) -> None:
+        kept = self.keys.take(pa.array(rows))
+        if kept.nbytes > MEMORY_BYTES:
+            rows, kept = rows[:0], kept.slice(0, 0)
+        self.keys, self.asked, self.sides = kept, self.asked[rows], [side.take(rows) for side in self.sides]
+
+
+def word_table(definition: dict) -> dict[int, str] | None:
+    """How a vocabulary spells blanks and letters, if its pre-tokenizer takes a word with the blank before it in one piece.
+
+    That is known of two forms, and where no added token is made of what WORD takes; of others nothing is said.
+    """
+    form = definition["normalizer"], definition["pre_tokenizer"]
+    if form not in WORD_FORMS or definition["model"]["type"] != "BPE" or any(
+            not set(t["content"]) - {*"\n ", *LETTERS, *SIGN} for t in definition["added_tokens"]):
+        return None
+    lower = form[0] is not None
+    spell = lambda c: "".join(chr(b) if 33 <= b < 127 or 161 <= b < 173 or b >= 174 else chr(256 + OTHER_BYTES.index(b)) for b in c.encode())
+    return {ord(c): spell(c.lower() if lower else c) for c in LETTERS} | {ord(" "): "" if lower else spell(" ")}
 
 
 class Encoder:
     """Encodes arrays of texts; ``special`` is a special token that separates chunks in one call.
 
-    Its string inside a text is the token, or with ``ordinary`` plain text like any other.
+    Its string inside a text is the token, or with ``ordinary`` plain text like any other. Chunks of one
+    word are given to the vocabulary's model itself: its pre-tokenizer would leave them whole.
     """
 
     def __init__(self, path: str, special: str, ordinary: bool = False) -> None:
@@ -109,39 +171,62 @@ class Encoder:
             self.alone = Tokenizer.from_file(path)
             self.alone.encode_special_tokens = True
         self.special, self.special_id = special, self.tokenizer.token_to_id(special)
-        self.blobs = Memory(self.learn)
-
-    def learn(self, chunks: list[str]) -> list[bytes]:
-        """The ids of every chunk as bytes."""
+        self.spelling, self.model = word_table(json.loads(self.tokenizer.to_str())), self.tokenizer.model
+        self.chunks = Memory(lambda chunks: [self.learn(chunks)])
+
+    def learn(self, chunks: pa.Array) -> Rows:
+        """The ids of every chunk."""
+        if self.spelling is None:
+            return self.piped(chunks.to_pylist())
+        parts = pc.extract_regex(chunks, WORD)
+        is_word = pc.is_valid(parts)
+        others = chunks.filter(pc.invert(is_word))
+        found = self.words(*(parts.filter(is_word).field(i).to_numpy(zero_copy_only=False).tolist() for i in range(3)))
+        is_word = is_word.to_numpy(zero_copy_only=False)
+        place = np.where(is_word, np.cumsum(is_word), len(found.at) - 1 + np.cumsum(~is_word)) - 1
+        return found.then(self.piped(others.to_pylist())).take(place)
+
+    def words(self, lines: list[str], words: list[str], signs: list[str]) -> Rows:
+        """The ids of chunks that are a line end or none, a word, and signs or none: those of words by the model alone."""
+        if not words:
+            return NO_ROWS
+        ends = sorted({*lines, *signs})
+        rows = self.piped(ends)
+        known = {c: rows.ids[s:e].tolist() if c else [] for c, s, e in zip(ends, rows.at[:-1].tolist(), rows.at[1:].tolist())}
+        tokenize, ids, at = self.model.tokenize, [], [0]
+        for line, word, sign in zip(lines, "\n".join(words).translate(self.spelling).split("\n"), signs):
+            if line:
+                ids += known[line]
+            ids += [t.id for t in tokenize(word)]
+            if sign:
+                ids += known[sign]
+            at.append(len(ids))
+        return Rows(np.array(ids, "<u4"), np.array(at, np.int64))
+
+    def piped(self, chunks: list[str]) -> Rows:
+        """The ids of every chunk, by the whole tokenizer."""
         alone = [c for c in chunks if "<" in c and "|" in c]  # special tokens of the vocabularies are written so
-        apart = dict(zip(alone, (packed(e.ids) for e in self.alone.encode_batch_fast(alone, add_special_tokens=False))))
+        apart = dict(zip(alone, (e.ids for e in self.alone.encode_batch_fast(alone, add_special_tokens=False))))
         rest = [c for c in chunks if c not in apart] if apart else chunks
         groups = [rest[i:i + 256] for i in range(0, len(rest), 256)]
         lines = self.tokenizer.encode_batch_fast([self.special.join(g) for g in groups], add_special_tokens=False)
         found = []
-        for group, e in zip(groups, lines):
+        for e in lines:
             ids = np.array(e.ids, "<u4")
-            ends = 4 * np.append(np.flatnonzero(ids == self.special_id), len(ids))
-            data = ids.tobytes()
-            found += [data[s:t] for s, t in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist())]
-        if not apart:
-            return found
-        known = dict(zip(rest, found))
-        return [apart[c] if c in apart else known[c] for c in chunks]
+            ends = np.append(np.flatnonzero(ids == self.special_id), len(ids))
+            ids = ids.tolist()
+            found += [ids[s:t] for s, t in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())]
+        if apart:
+            known = dict(zip(rest, found))
+            found = [apart[c] if c in apart else known[c] for c in chunks]
+        return Rows.of(found)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in a row, and the offset of each text in them (one more than texts)."""
         lists = chunk_lists(texts)
         coded = lists.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        blobs = self.blobs(chunks)
-        table = np.frombuffer(b"".join(blobs), "<u4")
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
-        starts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[codes]
-        at = np.concatenate(([0], np.cumsum(n)))
-        ids = table[np.repeat(starts[codes] - at[:-1], n) + np.arange(at[-1])]
+        place, (rows,) = self.chunks(coded.dictionary)
+        ids, at = rows.take(place[coded.indices.to_numpy(zero_copy_only=False)])
         return ids, at[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
