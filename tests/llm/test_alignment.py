@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from tideline.llm import alignment
-from tideline.llm.alignment import align_tokenizers, aligned_texts, aligner, byte_level_bytes, piece_bytes
+from tideline.llm.alignment import Aligner, align_tokenizers, aligned_texts, aligner, byte_level_bytes, piece_bytes
 
 from samples import awkward_rows, prose
 
@@ -92,3 +92,29 @@ def test_edge_cases(awkward, nameless, nothing):
     assert sum(got.values()) == 4 and {k[0] for k in got} == {None, 1} and got[(None, 0, 0, 0, 0, 0, 0, "")] == 1
     assert align_tokenizers(awkward, A, B).count() == len(awkward_rows())
     assert align_tokenizers(nothing, A, B).count() == 0
+
+
+def test_words_reach_neither_tokenizer_twice(monkeypatch):
+    """A word goes to the model of A without the rest of its tokenizer, and a second pass asks neither side."""
+    align, given = Aligner(A, B), []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    tokenizer = align.encoder.tokenizer
+    monkeypatch.setattr(align.encoder, "tokenizer", Counting())
+    words = [f"{a}{b}é{c}" for a in "bcdfgh" for b in "aeiou" for c in ("", "lich", ",", "!?", ".\n")]
+    texts = pa.array([" ".join(words), " ".join(reversed(words)) + " don't"])
+    first = aligned_texts(texts, align, strings=True)
+    assert sum(map(len, given)) < 100  # of about 700
+    monkeypatch.setattr(align.recall, "learn", None)
+    given.clear()
+    again = aligned_texts(texts, align, strings=True)
+    assert not given and first[2].groups.equals(again[2].groups) and (first[0] == again[0]).all()
+    lines = alignment.joined(first[2].groups, first[0], first[1], ";").to_pylist()
+    assert [hashlib.sha256(x.encode()).hexdigest() for x in lines] == [r[-1] for r in brute(texts.to_pylist())]
