@@ -97,6 +97,18 @@ def test_memory_keeps_what_was_asked_for_last():
     assert learned.count("0") == learned.count("20") == 1 == learned.count("40") and learned.count("1") == learned.count("79") == 2
 
 
+def test_chunks_are_known_after_many_others():
+    """Chunks of earlier batches are not encoded again when half a million others came since."""
+    encode = Encoder(BYTES, "<|endoftext|>")
+    first, *others = [pa.array([" ".join(f"a{i}" for i in range(s, s + 1000)) for s in range(k, k + 160_000, 1000)]) for k in (0, 160_000, 320_000)]
+    ids, _ = encode(first)
+    for more in others:
+        encode(more)
+    encode.tokenizer = Counting(encode.tokenizer)
+    again, _ = encode(first)
+    assert encode.tokenizer.given == 0 and (ids == again).all()
+
+
 def test_chunks_and_slices():
     texts = pa.array(ODD)
     assert ["".join(c) for c in chunk_lists(texts).to_pylist()] == [t if "\x1e" in t else t for t in ODD]
